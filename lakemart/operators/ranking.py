@@ -7,7 +7,7 @@ equal results beyond that.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
@@ -70,72 +70,75 @@ def tile_ends(rows: int, tiles: int) -> list[int]:
     return sorted({end for end in ends if 0 < end < rows})
 
 
-@dataclass
+@dataclass(frozen=True)
 class _Range:
-    """Rows with ``low <= key < high`` (open where None), ``before`` rows precede them, ``wanted`` positions lie inside."""
+    """Keys from ``low`` up to but without ``high`` (open where None); ``before`` rows precede its ``rows``."""
 
     low: Row | None
     high: Row | None
     before: int
     rows: int
-    wanted: list[int] = field(default_factory=list)
 
-    def of(self, keys: DataFrame, key_type: T.DataType) -> DataFrame:
+    def holds(self, key: Column, key_type: T.StructType) -> Column:
+        inside = F.lit(True)
         if self.low is not None:
-            keys = keys.filter(F.col("key") >= as_literal(self.low, key_type))
+            inside = inside & (key >= as_literal(self.low, key_type))
         if self.high is not None:
-            keys = keys.filter(F.col("key") < as_literal(self.high, key_type))
-        return keys
+            inside = inside & (key < as_literal(self.high, key_type))
+        return inside
 
 
-def keys_at(keys: DataFrame, positions: list[int], rows: int, single_task_rows: int, ranges: int = 128) -> dict[int, Row]:
+def keys_at(keys: DataFrame, positions: list[int], rows: int, single_task_rows: int, ranges: int = 64) -> dict[int, Row]:
     """The keys at these 1-based positions in ascending order; column ``key`` holds unique structs.
 
-    Each round cuts a range that is still too large at sampled keys, counts the parts (the driver sees
-    one number per part) and goes on with those that hold a position.  The sample decides how even the
-    parts are, never the result.
+    A range that is too large for one task is cut at sampled keys and its parts are counted (the driver
+    sees one number per part); those that hold a position are cut again until they are small, and only
+    their rows are numbered.  The sample decides how even the parts are, never the result.
     """
-    key_type = keys.schema["key"].dataType
-    open_ranges = [_Range(None, None, 0, rows, list(positions))]
-    found: dict[int, Row] = {}
-    while open_ranges:
-        part = open_ranges.pop()
-        inside = part.of(keys, key_type)
-        if part.rows <= single_task_rows:
-            numbered = inside.withColumn("at", F.row_number().over(Window.orderBy("key")) + F.lit(part.before))
-            found.update({r["at"]: r["key"] for r in numbered.filter(F.col("at").isin(part.wanted)).collect()})
-            continue
+    key, key_type = F.col("key"), keys.schema["key"].dataType
+    small: list[_Range] = []
+    large = [_Range(None, None, 0, rows)]
+    while large:
+        whole = large.pop()
+        inside = keys.filter(whole.holds(key, key_type))
         cuts = sample_cuts(inside, ranges)
-        counts = {r["part"]: r["n"] for r in inside.groupBy(range_of(F.col("key"), cuts, key_type).alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()}
-        if max(counts.values()) == part.rows:
-            raise ValueError("keys are not unique, so positions in their order are not defined")
-        edges = [part.low, *cuts, part.high]
-        before = part.before
+        counted = inside.groupBy(range_of(key, cuts, key_type).alias("part")).agg(F.count(F.lit(1)).alias("n"))
+        counts = {r["part"]: r["n"] for r in counted.collect()}
+        edges, before = [whole.low, *cuts, whole.high], whole.before
         for i in range(len(cuts) + 1):
-            n = counts.get(i, 0)
-            wanted = [p for p in part.wanted if before < p <= before + n]
-            if wanted:
-                open_ranges.append(_Range(edges[i], edges[i + 1], before, n, wanted))
-            before += n
-    return found
+            part = _Range(edges[i], edges[i + 1], before, counts.get(i, 0))
+            before += part.rows
+            if not any(part.before < p <= before for p in positions):
+                continue
+            if part.rows == whole.rows:
+                raise ValueError("keys are not unique, so positions in their order are not defined")
+            (small if part.rows <= single_task_rows else large).append(part)
+    offset = F.lit(None).cast("long")
+    for part in small:
+        offset = F.when(part.holds(key, key_type), F.lit(part.before)).otherwise(offset)
+    numbered = (
+        keys.withColumn("before", offset).filter(F.col("before").isNotNull())
+        .withColumn("at", F.row_number().over(Window.partitionBy("before").orderBy("key")) + F.col("before"))
+    )
+    return {r["at"]: r["key"] for r in numbered.filter(F.col("at").isin(positions)).select("at", "key").collect()}
 
 
 def sample_cuts(keys: DataFrame, ranges: int) -> list[Row]:
     """At most ``ranges - 1`` ascending keys that cut the rows into about even ranges.
 
-    The sample has a fixed size: the rows with the smallest hashes.
+    The sample has a fixed size, the rows with the smallest hashes, and is sorted in one small task.
     """
     sample = keys.orderBy(F.xxhash64("key")).limit(SAMPLES_PER_RANGE * ranges)
-    ordered = [r["key"] for r in sample.orderBy("key").collect()]
-    step = max(1, len(ordered) // ranges)
+    ordered = sample.agg(F.sort_array(F.collect_list("key"))).first()[0]
+    step = max(1, -(-len(ordered) // ranges))
     cuts: list[Row] = []
-    for key in ordered[step::step]:
-        if not cuts or key != cuts[-1]:
-            cuts.append(key)
+    for cut in ordered[step::step]:
+        if not cuts or cut != cuts[-1]:
+            cuts.append(cut)
     return cuts
 
 
-def range_of(key: Column, cuts: list[Row], key_type: T.DataType) -> Column:
+def range_of(key: Column, cuts: list[Row], key_type: T.StructType) -> Column:
     """Number of the range that a key falls into: a function of the row alone, equal in every run."""
     if not cuts:
         return F.lit(0)

@@ -26,7 +26,7 @@ class Lake:
     def create(self) -> None:
         """Databases, raw tables and the run log, where they do not exist yet."""
         for layer in (self.raw, self.stg, self.marts):
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{self.root}/{layer}'")
         for table in schemas.RAW_TABLES:
             columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schemas.raw_schema(table).fields)
             self.spark.sql(
@@ -41,7 +41,7 @@ class Lake:
 
     def tables(self, layer: str) -> list[str]:
         """Names of the tables in a layer."""
-        return sorted(t.name for t in self.spark.catalog.listTables(layer))
+        return sorted(t.name for t in self.spark.catalog.listTables(layer) if not t.isTemporary)
 
     def table(self, layer: str, name: str) -> DataFrame:
         """I20"""
