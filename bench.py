@@ -20,7 +20,7 @@ from lakemart.plans.refresh import counts
 from lakemart.session import get_session
 from lakemart.sources.lake import Lake
 from lakemart.sources.loads import load_raw
-from lakemart.workspace import fresh_path
+from lakemart.workspace import delete, fresh_path, scratch
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -61,7 +61,11 @@ def main() -> None:
     for prefix in ("cold_", "warm_"):
         lake = Lake(spark, fresh_path(spark, "bench"), prefix)
         lake.create()
-        passes.append(run(lake, files))
+        with scratch(spark):
+            passes.append(run(lake, files))
+        delete(spark, lake.root)
+    for path in files.values():
+        delete(spark, path)
     cold, warm = passes
     print(json.dumps({
         "metric": "raw files to marts, wall time", "value": round(sum(warm.values()), 3), "unit": "sec", "queries": warm,

@@ -20,7 +20,7 @@ from lakemart.workspace import Stored
 # Order states that the marts look at.
 COMPLETED, RETURNED = "completed", "returned"
 
-SALES_KEYS = ["order_date", "order_month", "order_day_of_week", "category", "sub_category", "shipping_country", "order_status"]
+SALES_KEYS = ["order_date", "category", "sub_category", "shipping_country"]
 PRODUCT_COLUMNS = ["product_id", "product_name", "category", "sub_category", "supplier", "unit_cost", "unit_price",
                    "gross_margin_pct", "stock_status", "stock_qty"]
 CUSTOMER_COLUMNS = ["customer_name", "email", "segment", "city", "country", "signup_date"]
@@ -35,14 +35,15 @@ def mart_sales(orders: DataFrame, products: DataFrame) -> DataFrame:
     """Completed orders per day, category and country, with margin and discount rates.
 
     Orders of unknown products count with category NULL, but not in the profit.  Distinct customers are
-    counted in two steps, first spread over customer ids, so that a hot group is no hot task.
+    counted in two steps, first spread over customer ids, so that a hot group is no hot task.  Month, day
+    of week and status follow from the other keys and are added afterwards, not shuffled.
     """
     c = F.col
     lines = joins.enrich(completed(orders), products.select("product_id", "category", "sub_category", "unit_cost"), "product_id")
     discounted = aggregates.count_matching(c("is_discounted"))
     revenue = F.sum("line_revenue")
     profit = F.sum(c("line_revenue") - c("unit_cost") * c("quantity"))
-    return lines.groupBy(*SALES_KEYS).agg(
+    sales = lines.groupBy(*SALES_KEYS).agg(
         F.count("order_id").alias("total_orders"),
         F.count_distinct("customer_id").alias("unique_customers"),
         revenue.alias("total_revenue"),
@@ -53,6 +54,14 @@ def mart_sales(orders: DataFrame, products: DataFrame) -> DataFrame:
         profit.alias("total_gross_profit"),
         measures.safe_pct(profit, revenue).alias("gross_profit_margin_pct"),
     )
+    return sales.select(
+        "order_date",
+        dates.month_start(c("order_date")).alias("order_month"),
+        dates.day_of_week(c("order_date")).alias("order_day_of_week"),
+        "category", "sub_category", "shipping_country",
+        F.lit(COMPLETED).alias("order_status"),
+        *[name for name in sales.columns if name not in SALES_KEYS],
+    )
 
 
 def customer_orders(orders: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from lakemart.operators.sets import layer_counts
 from lakemart.plans import marts, staging
 from lakemart.sources.lake import Lake
+from lakemart.workspace import scratch
 
 
 def refresh_staging(lake: Lake, as_of: dt.date | None = None, now: dt.datetime | None = None,
@@ -30,12 +31,13 @@ def refresh_staging(lake: Lake, as_of: dt.date | None = None, now: dt.datetime |
 def refresh_marts(lake: Lake, as_of: dt.date | None = None) -> dict[str, int]:
     """Marts from staging; run it after ``refresh_staging``."""
     orders, customers, products = (lake.table(lake.stg, t) for t in ("stg_orders", "stg_customers", "stg_products"))
-    return {
-        "mart_sales": lake.publish(lake.marts, "mart_sales", marts.mart_sales(orders, products), ["order_month"]),
-        "mart_customer_rfm": lake.publish(lake.marts, "mart_customer_rfm", marts.mart_customer_rfm(orders, customers, as_of)),
-        "mart_product": lake.publish(lake.marts, "mart_product", marts.mart_product(products, orders)),
-        "mart_anomalies": lake.publish(lake.marts, "mart_anomalies", marts.mart_anomalies(orders)),
-    }
+    with scratch(lake.spark):
+        return {
+            "mart_sales": lake.publish(lake.marts, "mart_sales", marts.mart_sales(orders, products), ["order_month"]),
+            "mart_customer_rfm": lake.publish(lake.marts, "mart_customer_rfm", marts.mart_customer_rfm(orders, customers, as_of)),
+            "mart_product": lake.publish(lake.marts, "mart_product", marts.mart_product(products, orders)),
+            "mart_anomalies": lake.publish(lake.marts, "mart_anomalies", marts.mart_anomalies(orders)),
+        }
 
 
 def counts(lake: Lake, layer: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,9 +81,14 @@ class Lake:
                 source: str | None = None, error: str | None = None) -> None:
         """Append one entry; a run has one when it starts and one when it ends."""
         entry = (run_id, table, source, rows, 0, status, error and error[:2000], started_at,
-                 None if status == STARTED else utc_now(), self.spark.sql("SELECT current_user()").first()[0])
+                 None if status == STARTED else utc_now(), self.user)
         self.spark.createDataFrame([entry], schemas.RUN_LOG_SCHEMA).write.mode("append").insertInto(f"{self.raw}.{schemas.RUN_LOG}")
 
+    @cached_property
+    def user(self) -> str:
+        """F26"""
+        return self.spark.sql("SELECT current_user()").first()[0]
+
     def runs(self) -> DataFrame:
         """The latest entry of each run; an unfinished run has no completion time yet."""
         entries = self.table(self.raw, schemas.RUN_LOG).withColumn("_ended", F.col("completed_at").isNotNull())

@@ -8,11 +8,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _local_folder: tempfile.TemporaryDirectory | None = None
+_scopes: list[list[str]] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -49,17 +52,27 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(jpath, True)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete on exit what ``Stored`` wrote inside; results that read it must be written by then."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            delete(spark, path)
+
+
 class Stored:
     """A DataFrame written as Parquet: ``df`` reads it back (column-pruned), ``rows`` is its size."""
 
     def __init__(self, df: DataFrame, label: str):
-        self._spark = df.sparkSession
-        self.path = fresh_path(self._spark, label)
+        spark = df.sparkSession
+        self.path = fresh_path(spark, label)
+        if _scopes:
+            _scopes[-1].append(self.path)
         self.rows = write_counted(df, self.path)
-        self.df = self._spark.read.schema(df.schema).parquet(self.path)
-
-    def drop(self) -> None:
-        delete(self._spark, self.path)
+        self.df = spark.read.schema(df.schema).parquet(self.path)
 
 
 def write_counted(df: DataFrame, path: str, mode: str = "error", partition_by: list[str] | None = None, **options: str) -> int:
