@@ -6,8 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def try_date(text: Column, fmt: str = "yyyy-MM-dd") -> Column:
-    """date of a string in exactly this format, else NULL."""
+ISO_DATE = "yyyy-MM-dd"
+
+
+def try_date(text: Column, fmt: str = ISO_DATE) -> Column:
+    """date of a string in exactly this format, else NULL.  ISO dates take the cheaper cast."""
+    if fmt == ISO_DATE:
+        return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}\z"), text.try_cast("date"))
     return F.try_to_date(text, fmt)
 
 

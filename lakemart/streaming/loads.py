@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,9 +21,9 @@ def stream_raw(lake: Lake, table: str, source: str, checkpoint: str, archive_to:
                files_per_batch: int = 1000) -> StreamingQuery:
     """Load the files that arrived below ``source`` since the last call, then stop.
 
-    The checkpoint knows which files are loaded.  A micro-batch is a run named after the stream and the
-    batch, so a batch repeated after a failure replaces its own rows.  ``archive_to`` moves finished
-    files away (I10).
+    The checkpoint knows which files are loaded.  A micro-batch is a run whose id follows from the stream
+    and the batch number, so a batch repeated after a failure replaces its own rows.  ``archive_to``
+    moves finished files away (I10).
     """
     options = {"maxFilesPerTrigger": str(files_per_batch)}
     if archive_to:
@@ -30,7 +31,8 @@ def stream_raw(lake: Lake, table: str, source: str, checkpoint: str, archive_to:
     arrived = readers.with_lineage(readers.stream_files(lake.spark, source, table, **options), "")
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        run_id = f"{table}-{batch_id:012d}"
+        stream_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        run_id = str(uuid.uuid5(uuid.UUID(stream_id), str(batch_id)))
         started = utc_now()
         lake.log_run(table, run_id, STARTED, started, source=source)
         try:
