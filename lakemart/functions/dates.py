@@ -14,7 +14,7 @@ def month_start(date: Column) -> Column:
 
 
 def truncate(unit: str, ts: Column) -> Column:
-    """timestamp cut to ``unit``, without time zone (Spark's own result has one)."""
+    """timestamp cut to ``unit``, without time zone (Spark's own result has one: use a UTC session)."""
     return F.date_trunc(unit, ts).cast("timestamp_ntz")
 
 

@@ -16,7 +16,9 @@ from pyspark.sql import types as T
 from lakemart.workspace import Stored
 
 SINGLE_TASK_ROWS = 500_000
-SAMPLES_PER_RANGE = 20
+SAMPLES_PER_RANGE = 40
+#: Beyond this the search in ``range_of`` outgrows one compiled method.
+MAX_RANGES = 128
 
 
 @dataclass(frozen=True)
@@ -88,7 +90,7 @@ class _Range:
         return inside
 
 
-def keys_at(keys: DataFrame, positions: list[int], rows: int, single_task_rows: int, ranges: int = 64) -> dict[int, Row]:
+def keys_at(keys: DataFrame, positions: list[int], rows: int, single_task_rows: int, ranges: int = 32) -> dict[int, Row]:
     """The keys at these 1-based positions in ascending order; column ``key`` holds unique structs.
 
     A range that is too large for one task is cut at sampled keys and its parts are counted (the driver
@@ -139,11 +141,19 @@ def sample_cuts(keys: DataFrame, ranges: int) -> list[Row]:
 
 
 def range_of(key: Column, cuts: list[Row], key_type: T.StructType) -> Column:
-    """Number of the range that a key falls into: a function of the row alone, equal in every run."""
-    if not cuts:
-        return F.lit(0)
-    literals = F.array(*[as_literal(cut, key_type) for cut in cuts])
-    return F.size(F.filter(literals, lambda cut: cut <= key))
+    """Number of the range that a key falls into, by binary search in generated code.
+
+    A function of the row alone, equal in every run.
+    """
+    literals = [as_literal(cut, key_type) for cut in cuts]
+
+    def search(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(key < literals[middle], search(low, middle)).otherwise(search(middle + 1, high))
+
+    return search(0, len(cuts))
 
 
 def as_literal(key: Row, key_type: T.StructType) -> Column:
@@ -175,7 +185,7 @@ def rank_by_ranges(df: DataFrame, group: str, order: Order, out: str, range_rows
     counted = Stored(df.groupBy(group, order.column).agg(F.count(F.lit(1)).alias("n")), "rank-values")
     key = F.struct(F.col(group).isNull().alias("no_group"), F.col(group).alias("grp"), *order.ascending_keys(df))
     keyed = counted.df.withColumn("key", key)
-    ranges = min(1024, max(2, -(-counted.rows // range_rows) * 2))
+    ranges = min(MAX_RANGES, max(2, -(-counted.rows // range_rows) * 2))
     cuts = sample_cuts(keyed.select("key"), ranges)
     placed = keyed.withColumn("part", range_of(F.col("key"), cuts, keyed.schema["key"].dataType))
 

@@ -13,18 +13,18 @@ from lakemart.workspace import hadoop_path
 
 
 def read_raw(lake: Lake, table: str, path: str | list[str], run_id: str, array_files: bool = False,
-             loaded_at: dt.datetime | None = None) -> DataFrame:
-    """The rows of a file drop as the raw table takes them."""
+             indent: int | None = None, loaded_at: dt.datetime | None = None) -> DataFrame:
+    """The rows of a file drop as the raw table takes them; JSON as lines, or as arrays with ``array_files``."""
     if table in schemas.DELIMITED:
         df = readers.read_delimited(lake.spark, path, table)
         return readers.blank_to_null(readers.with_lineage(df, run_id, loaded_at))
-    read = readers.read_json_arrays if array_files else readers.read_json_lines
-    df = readers.with_lineage(read(lake.spark, path), run_id, loaded_at)
+    found = readers.read_json_arrays(lake.spark, path, indent) if array_files else readers.read_json_lines(lake.spark, path)
+    df = readers.with_lineage(found, run_id, loaded_at)
     return df.select(*schemas.raw_schema(table).fieldNames())
 
 
 def load_raw(lake: Lake, table: str, path: str, run_id: str | None = None, array_files: bool = False,
-             archive_to: str | None = None, spread: int | None = None) -> int:
+             indent: int | None = None, archive_to: str | None = None, spread: int | None = None) -> int:
     """Append a file drop to a raw table, log the run and return the number of rows.
 
     ``archive_to`` moves the files that were read there after success (I10).  ``spread`` deals the rows
@@ -34,7 +34,7 @@ def load_raw(lake: Lake, table: str, path: str, run_id: str | None = None, array
     started = utc_now()
     lake.log_run(table, run_id, STARTED, started, source=path)
     try:
-        df = read_raw(lake, table, path, run_id, array_files)
+        df = read_raw(lake, table, path, run_id, array_files, indent)
         files = df.inputFiles() if archive_to else []
         rows = lake.append_raw(table, df.repartition(spread) if spread else df, run_id)
     except Exception as error:

@@ -48,16 +48,30 @@ def read_json_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return _documents(spark.read).json(path)
 
 
-def read_json_arrays(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_json_arrays(spark: SparkSession, path: str | list[str], indent: int | None = None) -> DataFrame:
     """One variant row per element of the array that each file holds.
 
-    A JSON array cannot be split, so each file is one record of at most 2 GB; many files run in parallel.
+    With the ``indent`` that the array was written with, every element starts on a line of its own and
+    large files are split between elements.  Otherwise a file is one record of at most 2 GB, and only
+    files run in parallel.
     """
+    if indent:
+        return _indented_elements(spark, path, indent)
     files = spark.read.text(path, wholetext=True)
     elements = F.from_json("value", "array<variant>", {"mode": "FAILFAST"})
     return files.select(F.explode(elements).alias(schemas.DOCUMENT_COLUMN), F.col("_metadata"))
 
 
+def _indented_elements(spark: SparkSession, path: str | list[str], indent: int) -> DataFrame:
+    """Split where an element of the outer array closes: no other brace stands at this depth on a line start."""
+    close = "\n" + " " * indent + "}"
+    text = F.regexp_replace("value", r"\A\s*\[", "")
+    last = F.regexp_extract(text, rf"(?s)\A(.*{close})\s*\]\s*\z", 1)
+    element = F.when(last != "", last).otherwise(F.concat(text, F.lit(close)))
+    records = spark.read.text(path, lineSep=close + ",").filter(~text.rlike(r"\A\s*\]?\s*\z"))
+    return records.select(F.parse_json(element).alias(schemas.DOCUMENT_COLUMN), F.col("_metadata"))
+
+
 def stream_files(spark: SparkSession, path: str, table: str, **options: str) -> DataFrame:
     """The same readers as a stream of the files that arrive below ``path``."""
     reader = spark.readStream.options(**options)

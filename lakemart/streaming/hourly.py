@@ -17,7 +17,8 @@ def stream_hourly_events(events: DataFrame, delay: str = "1 hour") -> DataFrame:
     """The same counts over a stream of cleaned events, each hour emitted once the watermark has passed it.
 
     An event that is delivered twice counts once; its identity is forgotten ``delay`` after its time, and
-    so are closed hours, which keeps the state bounded.
+    so are closed hours, which keeps the state bounded.  Watermarks need timestamps with time zone, so
+    the session must be in UTC.
     """
     once = (
         events.filter(F.col("event_ts").isNotNull())

@@ -60,12 +60,28 @@ def test_json_lines_and_arrays_give_the_same_documents(spark, lake, drop):
     lines = read_raw(lake, "raw_products", str(drop / "lines.json"), "r")
     array = read_raw(lake, "raw_products", str(drop / "array.json"), "r", array_files=True)
     want = [{"is_active": True, "product_id": "p1", "unit_cost": 1.5}, {"product_id": None, "tags": [1]}]
-    for df in (lines, array):
+    split = read_raw(lake, "raw_products", str(drop / "array.json"), "r", array_files=True, indent=2)
+    for df in (lines, array, split):
         got = [json.loads(r[0]) for r in df.select(F.to_json("raw_data")).collect()]
         assert sorted(got, key=str) == sorted(want, key=str)
         assert df.select("_source_file").first()[0].endswith(".json")
 
 
+def test_large_indented_arrays_are_split(spark, drop):
+    documents = [{"id": i, "note": 'a } ] "quoted",\n  },\n', "tags": [i, {"deep": {}}], "empty": []} for i in range(20_000)]
+    (drop / "a.json").write_text(json.dumps(documents, indent=2))
+    (drop / "none.json").write_text("[]\n")
+    (drop / "one.json").write_text(json.dumps([{"id": -1}], indent=2) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200KB")
+    try:
+        df = readers.read_json_arrays(spark, str(drop), indent=2)
+        assert df.rdd.getNumPartitions() > 5
+        got = [json.loads(r[0]) for r in df.select(F.to_json("raw_data")).collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted(got, key=lambda d: d["id"]) == [{"id": -1}, *documents]
+
+
 @pytest.mark.parametrize("array_files", [False, True])
 def test_bad_json_fails(spark, lake, drop, array_files):
     (drop / "bad.json").write_text('[{"a": 1}, {"a": ' if array_files else '{"a": 1}\n{"a": }\n')
