@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lakemart.operators.dedup import latest_per_key
 from lakemart.sources import schemas
-from lakemart.workspace import delete, hadoop_path, write_counted
+from lakemart.workspace import delete, hadoop_path, stored_bytes, write_counted
 
 STARTED, SUCCESS, FAILED = "STARTED", "SUCCESS", "FAILED"
 
@@ -48,6 +48,10 @@ class Lake:
         """I20"""
         return self.spark.table(f"{layer}.{name}")
 
+    def bytes(self, layer: str) -> int:
+        """Stored size of a layer."""
+        return stored_bytes(self.spark, f"{self.root}/{layer}")
+
     def append_raw(self, table: str, df: DataFrame, run_id: str) -> int:
         """Add the rows of one run and return their number.
 

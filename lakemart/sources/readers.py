@@ -27,9 +27,10 @@ def blank_to_null(df: DataFrame, tokens: tuple[str, ...] = NULL_TOKENS) -> DataF
 
 def with_lineage(df: DataFrame, run_id: str, loaded_at: dt.datetime | None = None) -> DataFrame:
     """Load time, file and run of each row; call it right after the read, while files are known."""
+    at = F.lit(loaded_at.isoformat(" ")) if loaded_at else now()
     return df.select(
         "*",
-        now(loaded_at).cast("timestamp_ntz").alias("_loaded_at"),
+        at.cast("timestamp_ntz").alias("_loaded_at"),
         F.col("_metadata.file_path").alias("_source_file"),
         F.lit(run_id).alias("_run_id"),
     )

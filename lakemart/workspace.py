@@ -47,6 +47,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Size of all files below a path."""
+    fs, jpath = hadoop_path(spark, path)
+    return fs.getContentSummary(jpath).getLength() if fs.exists(jpath) else 0
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, jpath = hadoop_path(spark, path)
     fs.delete(jpath, True)

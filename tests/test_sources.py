@@ -157,3 +157,9 @@ def test_load_time_can_be_given(spark, lake, drop):
     (drop / "o.csv").write_text(ORDERS + "1,2,3,4,5,6,7,8,9,10\n")
     at = dt.datetime(2024, 1, 2, 3)
     assert read_raw(lake, "raw_orders", str(drop), "r", loaded_at=at).first()["_loaded_at"] == at
+
+
+def test_documents_can_be_spread(spark, lake, drop):
+    (drop / "a.json").write_text("\n".join(json.dumps({"event_id": i}) for i in range(10)))
+    assert load_raw(lake, "raw_web_events", str(drop), spread=3) == 10
+    assert lake.table(lake.raw, "raw_web_events").count() == 10
