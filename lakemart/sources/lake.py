@@ -84,9 +84,10 @@ class Lake:
     def log_run(self, table: str, run_id: str, status: str, started_at: dt.datetime, rows: int | None = None,
                 source: str | None = None, error: str | None = None) -> None:
         """Append one entry; a run has one when it starts and one when it ends."""
-        entry = (run_id, table, source, rows, 0, status, error and error[:2000], started_at,
-                 None if status == STARTED else utc_now(), self.user)
-        self.spark.createDataFrame([entry], schemas.RUN_LOG_SCHEMA).write.mode("append").insertInto(f"{self.raw}.{schemas.RUN_LOG}")
+        entry = (run_id, table, source, rows, 0, status, error and error[:2000], started_at.isoformat(" "),
+                 None if status == STARTED else utc_now().isoformat(" "), self.user)
+        columns = [F.lit(value).cast(f.dataType).alias(f.name) for value, f in zip(entry, schemas.RUN_LOG_SCHEMA.fields)]
+        self.spark.range(0, 1, 1, 1).select(*columns).write.mode("append").insertInto(f"{self.raw}.{schemas.RUN_LOG}")
 
     @cached_property
     def user(self) -> str:
