@@ -25,8 +25,8 @@ from lakemart.streaming.loads import read_latest, stream_latest, stream_raw
 from lakemart.workspace import Stored, fresh_path
 
 AS_OF = dt.date(2001, 12, 31)
-#: Below the size of the test tables, so that the checks take the distributed ranking.
-SMALL_TASK = 300
+#: Below the size of the test tables and of their categories, so that the checks take the distributed ranking.
+SMALL_TASK, SMALL_GROUP = 1000, 300
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -294,7 +294,7 @@ def rank_nulls_first(spark, sf):
         products(spark, sf).select("product_id", "category"),
         orders(spark, sf).groupBy("product_id").agg(F.sum("quantity").alias("units")), "product_id", [],
     )
-    return rank_within(sold, "category", Order("units", descending=True), "units_rank", single_task_rows=SMALL_TASK)
+    return rank_within(sold, "category", Order("units", descending=True), "units_rank", single_task_rows=SMALL_GROUP)
 
 
 # J1-J4
