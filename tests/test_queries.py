@@ -4,8 +4,10 @@ import pytest
 
 import __spark_entry__ as contract
 from checks.compare import connect, differences
+from checks.oracles import ORACLES
+from checks.queries import QUERIES
 
-NAMES = sorted(contract.queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -14,7 +16,9 @@ def con(small):
 
 
 def test_every_query_has_sql():
-    assert set(contract.oracle_sql()) == set(NAMES)
+    assert set(ORACLES) == set(NAMES)
+    assert set(NAMES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
 @pytest.mark.parametrize("name", NAMES)
