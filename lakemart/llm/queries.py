@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import simhash_dedup
+from lakemart.llm import quality_forest, simhash_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -23,6 +23,13 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query
+def op5_quality_forest(spark: SparkSession, sf: str) -> DataFrame:
+    """Rule statistics and verdict of every document."""
+    found = quality_forest.verdicts(table(spark, sf, "documents"), table(spark, sf, "labels"))
+    return found.select("doc_id", *quality_forest.NAMES[:5], "base_failed", "kept", "anomaly")
+
+
 @query
 def op6_simhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
