@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import quality_forest, simhash_dedup
+from lakemart.llm import bitplane_store, quality_forest, simhash_dedup
+
+#: Folder of the public vocabularies.
+TOKENIZERS = "/opt/tokenizers"
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -35,3 +38,9 @@ def op6_simhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     found = simhash_dedup.near_duplicates(table(spark, sf, "documents"), shingle=4, threshold=4)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query
+def op10_bitplane_store(spark: SparkSession, sf: str) -> DataFrame:
+    """Ids of every document as read back from its files."""
+    return bitplane_store.store_and_check(table(spark, sf, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
