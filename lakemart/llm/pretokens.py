@@ -11,7 +11,7 @@ import regex
 #: Control characters, and whatever lies beyond Latin letters, common punctuation and symbols.
 UNUSUAL = regex.compile(r"[^\t\n\r -~¡-ɏ‐-‧‰-⁞€]")
 #: Distinct pre-tokens that a task remembers.
-REMEMBERED = 200_000
+REMEMBERED = 600_000
 
 
 def usual(text: str) -> bool:

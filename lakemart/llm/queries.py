@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import bitplane_store, quality_forest, simhash_dedup
+from lakemart.llm import bitplane_store, quality_forest, simhash_dedup, token_automaton
 
 #: Folder of the public vocabularies.
 TOKENIZERS = "/opt/tokenizers"
@@ -26,6 +26,12 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query
+def op4_token_automaton(spark: SparkSession, sf: str) -> DataFrame:
+    """Digests of the ids of every document and of what they decode to."""
+    return token_automaton.digests(table(spark, sf, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
+
+
 @query
 def op5_quality_forest(spark: SparkSession, sf: str) -> DataFrame:
     """Rule statistics and verdict of every document."""
