@@ -12,33 +12,33 @@ task together, on any storage, whatever executors are lost.
 
 from __future__ import annotations
 
+import re
 import struct
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakemart.llm.pretokens import REMEMBERED, usual
+from lakemart.llm.pretokens import BYTE_LEVEL, REMEMBERED, byte_symbols, usual
 from lakemart.llm.texts import sliced, stored
 from lakemart.workspace import fresh_path
 
 CHUNK = 1 << 16
 MAGIC = b"BPLANES1"
 TAIL = struct.Struct("<QQQQ8s")  # offset and size of the document index, offset and size of the chunk index, magic
-#: Fixed value: how the byte-level vocabulary splits a text.
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 END_ID = 0
 
 
 class Encoder:
     """Whole texts to ids as the tokenizers library gives them, without special tokens added.
 
-    Special tokens inside a text are cut out first, as the library does; what lies between is split by ``PATTERN``,
-    and each distinct pre-token goes to the library once.
+    Special tokens inside a text are cut out first, as the library does; what lies between is split into
+    pre-tokens, and each distinct one goes to the library's model once.
     """
 
     def __init__(self, file: str):
@@ -49,9 +49,8 @@ class Encoder:
         self.tokenizer.no_padding()
         special = [(t.content, i) for i, t in self.tokenizer.get_added_tokens_decoder().items()]
         self.special = {content: np.array([i], "<u4").tobytes() for content, i in special}
-        self.cut = regex.compile("(" + "|".join(regex.escape(c) for c in sorted(self.special, key=len, reverse=True)) + ")") if special else None
-        self.split = regex.compile(PATTERN).findall
-        self.known: dict[str, bytes] = {}
+        self.cut = re.compile("(" + "|".join(re.escape(c) for c in sorted(self.special, key=len, reverse=True)) + ")") if special else None
+        self.known = Known(self.tokenizer.model)
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -65,16 +64,28 @@ class Encoder:
         return self._plain(text)
 
     def _plain(self, text: str) -> bytes:
-        words, known = self.split(text), self.known
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            if len(known) > REMEMBERED:
-                known.clear()
-            new = [w for w in set(words) if w not in known]
-            for w, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, "<u4").tobytes()
-            return b"".join([known[w] for w in words])
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        return b"".join(map(self.known.__getitem__, BYTE_LEVEL.findall(text)))
+
+
+class Known(dict):
+    """The ids of each pre-token met, by the library's model."""
+
+    def __init__(self, model):
+        self.tokenize = model.tokenize
+        self.symbols = str.maketrans({chr(b): c for b, c in enumerate(byte_symbols())})
+
+    def __missing__(self, word: str) -> bytes:
+        tokens = self.tokenize(word.encode().decode("latin-1").translate(self.symbols))
+        found = self[word] = array("I", [t.id for t in tokens]).tobytes()
+        return found
+
+
+@lru_cache(maxsize=2)
+def encoder(file: str) -> Encoder:
+    """One for each Python worker."""
+    return Encoder(file)
 
 
 def pack(ids: np.ndarray, plane_bits: int = 1) -> list[bytes]:
@@ -171,10 +182,10 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, text: str = "text", id
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, file, end = Encoder(tokenizer), FileWriter(plane_bits), np.array([end_id], "<u4").tobytes()
+        own, file, end = encoder(tokenizer), FileWriter(plane_bits), np.array([end_id], "<u4").tobytes()
         for part in sliced(batches):
             for doc_id, words in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                ids = np.frombuffer(encoder.encode(words) + end, "<u4")
+                ids = np.frombuffer(own.encode(words) + end, "<u4")
                 yield from map(_row, file.add(doc_id, ids))
         yield from map(_row, file.end())
 

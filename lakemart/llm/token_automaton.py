@@ -14,20 +14,19 @@ over the word finds the path.  Decoding emits the labels of the arcs.
 from __future__ import annotations
 
 import json
+import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.pretokens import REMEMBERED, usual
+from lakemart.llm.pretokens import REMEMBERED, WORD_LEVEL, byte_symbols, usual
 from lakemart.llm.texts import map_texts
 
 NEVER = 1 << 62
-#: Fixed value: how the word vocabulary splits a lower-cased text.
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 class Automaton:
@@ -101,10 +100,10 @@ class WordCoder:
         self.library = Tokenizer.from_file(file)
         special = {t.content: i for i, t in self.library.get_added_tokens_decoder().items()}
         self.special = {c: np.array([i], "<u4").tobytes() for c, i in special.items()}
-        self.cut = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
+        self.cut = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
         self.labels = {i: t.encode() for t, i in [*vocab.items(), *special.items()]}
-        self.split, self.byte = regex.compile(PATTERN).findall, byte
-        self.known: dict[str, bytes] = {}
+        self.byte = byte
+        self.known = Known(self)
 
     def word(self, spelled: bytes) -> list[int]:
         """The accepted path through one word."""
@@ -133,20 +132,13 @@ class WordCoder:
 
     def _plain(self, text: str) -> bytes:
         if usual(text):
-            words = self.split(text.lower())
+            words = WORD_LEVEL.findall(text.lower())
         else:  # normal forms and classes of rare characters as the library has them
             pieces = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
             words = [bytes(self.byte[c] for c in w).decode("utf-8", "surrogateescape") for w, _ in pieces]
-        known = self.known
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            if len(known) > REMEMBERED:
-                known.clear()
-            for w in set(words):
-                if w not in known:
-                    known[w] = np.array(self.word(w.encode("utf-8", "surrogateescape")), "<u4").tobytes()
-            return b"".join([known[w] for w in words])
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        return b"".join(map(self.known.__getitem__, words))
 
     def decode(self, ids: list[int]) -> bytes:
         """The labels of the ids in UTF-8, with a space between: the vocabulary has no decoder of its own."""
@@ -154,11 +146,15 @@ class WordCoder:
         return b" ".join([labels[i] for i in ids])
 
 
-def byte_symbols() -> list[str]:
-    """The printable character that stands for each byte: itself, or else the next ones from 256."""
-    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = [b for b in range(256) if b not in own]
-    return [chr(b) if b in own else chr(256 + others.index(b)) for b in range(256)]
+class Known(dict):
+    """The ids of each word met."""
+
+    def __init__(self, coder: WordCoder):
+        self.coder = coder
+
+    def __missing__(self, word: str) -> bytes:
+        found = self[word] = array("I", self.coder.word(word.encode("utf-8", "surrogateescape"))).tobytes()
+        return found
 
 
 @lru_cache(maxsize=2)
