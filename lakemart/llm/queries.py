@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import bitplane_store, quality_forest, simhash_dedup, token_automaton
+from lakemart.llm import bitplane_store, license_join, quality_forest, simhash_dedup, token_automaton, toxicity_subword
 
 #: Folder of the public vocabularies.
 TOKENIZERS = "/opt/tokenizers"
@@ -46,6 +46,18 @@ def op6_simhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+@query
+def op7_toxicity_subword(spark: SparkSession, sf: str) -> DataFrame:
+    """Toxicity of every document."""
+    return toxicity_subword.toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query
+def op9_license_join(spark: SparkSession, sf: str) -> DataFrame:
+    """License labels of every document."""
+    return license_join.license_scan(table(spark, sf, "documents"))
+
+
 @query
 def op10_bitplane_store(spark: SparkSession, sf: str) -> DataFrame:
     """Ids of every document as read back from its files."""
