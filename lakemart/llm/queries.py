@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import bitplane_store, license_join, quality_forest, simhash_dedup, token_automaton, toxicity_subword
+import corpus_pipeline
+from lakemart.llm import bitplane_store, license_join, quality_forest, secret_forest, simhash_dedup, source_mixing, token_automaton, toxicity_subword
 
 #: Folder of the public vocabularies.
 TOKENIZERS = "/opt/tokenizers"
@@ -26,6 +27,18 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query
+def op2_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    """Place of every document in a mix in which no source has more than a quarter."""
+    return source_mixing.mix(table(spark, sf, "documents")).select("doc_id", "source", "block", "slot", "release", "deadline", "in_mix")
+
+
+@query
+def op3_secret_forest(spark: SparkSession, sf: str) -> DataFrame:
+    """Every candidate of every document and whether it is a secret."""
+    return secret_forest.secrets(table(spark, sf, "documents"))
+
+
 @query
 def op4_token_automaton(spark: SparkSession, sf: str) -> DataFrame:
     """Digests of the ids of every document and of what they decode to."""
@@ -62,3 +75,6 @@ def op9_license_join(spark: SparkSession, sf: str) -> DataFrame:
 def op10_bitplane_store(spark: SparkSession, sf: str) -> DataFrame:
     """Ids of every document as read back from its files."""
     return bitplane_store.store_and_check(table(spark, sf, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
