@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lakemart.llm import bitplane_store, license_join, quality_forest, secret_forest, simhash_dedup, source_mixing, token_automaton, toxicity_subword
+from lakemart.llm import bitplane_store, license_join, projection_search, quality_forest, secret_forest, simhash_dedup, source_mixing, token_automaton, toxicity_subword
 
 #: Folder of the public vocabularies.
 TOKENIZERS = "/opt/tokenizers"
@@ -27,6 +27,12 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query
+def op1_projection_search(spark: SparkSession, sf: str) -> DataFrame:
+    """The ten nearest found of every hundredth vector."""
+    return projection_search.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 @query
 def op2_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
     """Place of every document in a mix in which no source has more than a quarter."""
