@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lakemart.llm import bitplane_store, license_join, projection_search, quality_forest, secret_forest, simhash_dedup, source_mixing, token_automaton, toxicity_subword
+from lakemart.llm import bitplane_store, license_join, projection_search, quality_forest, runlength_dedup, secret_forest, simhash_dedup, source_mixing, token_automaton, toxicity_subword
 
 #: Folder of the public vocabularies.
 TOKENIZERS = "/opt/tokenizers"
@@ -71,6 +71,12 @@ def op7_toxicity_subword(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity_subword.toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+@query
+def op8_runlength_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Repeated bytes of every document and a digest of the others."""
+    return runlength_dedup.remove_repeats(table(spark, sf, "documents"), length=400).drop("kept")
+
+
 @query
 def op9_license_join(spark: SparkSession, sf: str) -> DataFrame:
     """License labels of every document."""
