@@ -133,7 +133,7 @@ def labelled(docs: DataFrame, labels: DataFrame, learn: Column, fit_rows: int) -
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, fit_rows: int = 4000) -> Model:
     """A model from a bounded sample of labelled texts, trained in one task.
 
-    ``fit_rows`` bounds the texts of each label.  A doc_id that repeats in ``docs`` counts once, as its first text.
+    ``fit_rows`` bounds the texts of each label; only they reach that task.  A doc_id that repeats in ``docs`` counts once, as its first text.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,7 +146,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, fit_rows: int = 4000)
         model = train([t for t, _ in found], [y for _, y in found])
         yield pa.RecordBatch.from_arrays([pa.array([model.logits.tobytes()]), pa.array([model.offset])], names=["logits", "offset"])
 
-    made = labelled(docs, labels, learn, fit_rows).coalesce(1).mapInArrow(run, "logits binary, offset double").first()
+    made = labelled(docs, labels, learn, fit_rows).repartition(1).mapInArrow(run, "logits binary, offset double").first()
     return Model(np.frombuffer(made["logits"], np.float32), made["offset"]) if made else train([], [])
 
 
