@@ -20,7 +20,7 @@ from lakemart.plans import marts, questions, refresh, staging
 from lakemart.sources import readers, schemas, sinks
 from lakemart.sources.lake import Lake
 from lakemart.sources.loads import load_raw, read_raw
-from lakemart.streaming.hourly import hourly_events, stream_hourly_events
+from lakemart.streaming.hourly import hourly_events, read_hourly, stream_hourly_events
 from lakemart.streaming.loads import read_latest, stream_latest, stream_raw
 from lakemart.workspace import Stored, fresh_path
 
@@ -147,6 +147,10 @@ def load_csv_customers(spark, sf):
 def load_json_products(spark, sf):
     lake = new_lake(spark)
     load_raw(lake, "raw_products", landed_json(spark, sf, "products", "gzip"))
+    return product_fields(lake)
+
+
+def product_fields(lake):
     fields = {c: "string" for c in ("product_id", "product_name", "category", "sub_category", "supplier")}
     fields |= {"unit_cost": "decimal(10,2)", "unit_price": "decimal(10,2)", "stock_qty": "int", "is_active": "boolean"}
     raw = lake.table(lake.raw, "raw_products")
@@ -157,6 +161,10 @@ def load_json_products(spark, sf):
 def load_json_events(spark, sf):
     lake = new_lake(spark)
     load_raw(lake, "raw_web_events", landed_json(spark, sf, "web_events"))
+    return event_fields(lake)
+
+
+def event_fields(lake):
     fields = ("event_id", "session_id", "customer_id", "event_type", "event_ts", "page", "product_id", "device", "browser", "country")
     raw = lake.table(lake.raw, "raw_web_events")
     return raw.select(*[casts.variant_field(F.col("raw_data"), c).alias(c) for c in fields])
@@ -434,9 +442,55 @@ def stream_load_dedup(spark, sf):
 
 @query
 def stream_events_hourly(spark, sf):
-    landed = Stored(adapter.raw(spark, sf, "web_events"), "landed")
-    arriving = spark.readStream.schema(landed.df.schema).parquet(landed.path)
-    out = fresh_path(spark, "hourly")
-    counts = stream_hourly_events(staging.clean_web_events(arriving))
-    counts.writeStream.format("parquet").outputMode("append").option("checkpointLocation", fresh_path(spark, "ckpt")).trigger(availableNow=True).start(out).awaitTermination()
-    return spark.read.schema(counts.schema).parquet(out)
+    """Later events first, a few files at a time, so that most batches hold events older than those before."""
+    events = adapter.raw(spark, sf, "web_events")
+    falling = events.orderBy(F.desc(casts.variant_field(F.col("raw_data"), "event_ts")))
+    landed = Stored(falling.hint("rebalance").repartition(8), "landed")
+    arriving = spark.readStream.schema(landed.df.schema).option("maxFilesPerTrigger", 2).parquet(landed.path)
+    path = fresh_path(spark, "hourly")
+    stream_hourly_events(staging.clean_web_events(arriving), path, fresh_path(spark, "ckpt")).awaitTermination()
+    return read_hourly(spark, path)
+
+
+def landed_array(spark, sf, name: str, indent: int | None) -> str:
+    """Raw documents as files of one JSON array each, elements indented or all on one line."""
+    lines = adapter.raw(spark, sf, name).select(F.to_json("raw_data").alias("line"), F.spark_partition_id().alias("part"))
+    spaces = "\n" + " " * (indent or 0) if indent else ""
+    inner = F.regexp_replace(F.regexp_replace("line", r"^\{", "{" + "\n" + " " * 2 * (indent or 1)), r"\}$", spaces + "}") if indent else F.col("line")
+    joined = F.concat(F.lit("[" + spaces), F.array_join(F.collect_list(inner), "," + spaces), F.lit("\n]" if indent else "]"))
+    path = fresh_path(spark, "arrays")
+    lines.groupBy(F.pmod(F.xxhash64("line"), F.lit(8)).alias("part")).agg(joined.alias("value")).select("value").write.option("maxRecordsPerFile", 1).text(path)
+    return path
+
+
+@query
+def load_json_array_products(spark, sf):
+    lake = new_lake(spark)
+    load_raw(lake, "raw_products", landed_array(spark, sf, "products", 2))
+    return product_fields(lake)
+
+
+@query
+def load_json_array_events(spark, sf):
+    lake = new_lake(spark)
+    load_raw(lake, "raw_web_events", landed_array(spark, sf, "web_events", None))
+    return event_fields(lake)
+
+
+@query
+def stream_raw_load_documents(spark, sf):
+    lake = new_lake(spark)
+    stream_raw(lake, "raw_web_events", landed_array(spark, sf, "web_events", None), fresh_path(spark, "ckpt"), files_per_batch=3).awaitTermination()
+    return event_fields(lake)
+
+
+@query
+def published_mart_sales(spark, sf):
+    """The mart as readers see it, in the column order of the contract."""
+    lake = new_lake(spark)
+    made = mart_sales(spark, sf)
+    lake.publish(lake.marts, "mart_sales", made, ["order_month"])
+    published = lake.table(lake.marts, "mart_sales")
+    if published.columns != made.columns:
+        raise ValueError(f"published as {published.columns}")
+    return published

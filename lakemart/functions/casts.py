@@ -27,8 +27,18 @@ def try_decimal(text: Column, precision: int, scale: int) -> Column:
 
 
 def try_timestamp(text: Column) -> Column:
-    """timestamp without time zone, else NULL."""
-    return text.try_cast("timestamp_ntz")
+    """timestamp without time zone, else NULL.
+
+    Whole numbers are seconds since 1970, or milli-, micro- or nanoseconds by their size; dates must be complete.
+    """
+    number = F.when(text.rlike(r"^\s*\d{1,18}\s*\z"), text.try_cast("bigint"))
+    # Where one unit of whole numbers ends and the next begins.
+    micros = (
+        F.when(number < 31536000000, number * 1000000).when(number < 31536000000000, number * 1000)
+        .when(number < 31536000000000000, number).otherwise((number / 1000).cast("bigint"))
+    )
+    since = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=(micros / 1000000).cast("decimal(18,6)"))
+    return F.when(number.isNotNull(), since).when(text.rlike(r"^\s*\d{4,}-\d{1,2}-\d{1,2}"), text.try_cast("timestamp_ntz"))
 
 
 def as_text(value: Column) -> Column:

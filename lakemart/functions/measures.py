@@ -29,15 +29,15 @@ SEGMENT_ELSE = "Needs Attention"
 def safe_ratio(num: Column, den: Column, scale: int = 2) -> Column:
     """``num / den`` rounded half up; NULL where ``den`` is 0.
 
-    The operands are narrowed so that the quotient keeps at least 12 digits before it is rounded.
+    The operands keep six digits, and the quotient ten before it is rounded.
     """
-    quotient = num.cast("decimal(22,2)") / F.nullif(den.cast("decimal(20,2)"), F.lit(0))
+    quotient = num.cast("decimal(24,6)") / F.nullif(den.cast("decimal(22,6)"), F.lit(0).cast("decimal(22,6)"))
     return F.round(quotient, scale).cast("decimal(18,2)")
 
 
 def safe_pct(num: Column, den: Column) -> Column:
     """Share in percent with two digits."""
-    return safe_ratio(num.cast("decimal(20,2)") * 100, den)
+    return safe_ratio(num.cast("decimal(20,6)") * 100, den)
 
 
 def mean_amount(amount: Column) -> Column:

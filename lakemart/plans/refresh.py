@@ -39,7 +39,7 @@ def refresh_marts(lake: Lake, as_of: dt.date | None = None) -> dict[str, int]:
             "mart_sales": lake.publish(lake.marts, "mart_sales", marts.mart_sales(orders, products), ["order_month"]),
             "mart_customer_rfm": lake.publish(lake.marts, "mart_customer_rfm", marts.mart_customer_rfm(orders, customers, as_of)),
             "mart_product": lake.publish(lake.marts, "mart_product", marts.mart_product(products, orders)),
-            "mart_anomalies": lake.publish(lake.marts, "mart_anomalies", marts.mart_anomalies(orders)),
+            "mart_anomalies": lake.publish(lake.marts, "mart_anomalies", marts.anomalies_of_sales(lake.table(lake.marts, "mart_sales"))),
         }
 
 

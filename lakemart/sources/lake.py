@@ -76,7 +76,8 @@ class Lake:
         if partition_by:
             df = df.hint("rebalance", *partition_by)
         rows = write_counted(df, version, partition_by=partition_by)
-        self.spark.sql(f"CREATE OR REPLACE VIEW {layer}.{name} AS SELECT * FROM parquet.`{version}`")
+        columns = ", ".join(f"`{c}`" for c in df.columns)  # a partitioned file layout has them in another order
+        self.spark.sql(f"CREATE OR REPLACE VIEW {layer}.{name} AS SELECT {columns} FROM parquet.`{version}`")
         for old in self._versions(folder)[:-keep]:
             delete(self.spark, old)
         return rows

@@ -9,46 +9,65 @@ from pyspark.sql import DataFrame
 
 from lakemart.sources import readers, schemas
 from lakemart.sources.lake import FAILED, STARTED, SUCCESS, Lake, utc_now
-from lakemart.workspace import hadoop_path
+from lakemart.workspace import delete, hadoop_path
 
 
 def read_raw(lake: Lake, table: str, path: str | list[str], run_id: str, array_files: bool = False,
-             indent: int | None = None, loaded_at: dt.datetime | None = None) -> DataFrame:
-    """The rows of a file drop as the raw table takes them; JSON as lines, or as arrays with ``array_files``."""
+             indent: int | None = None, loaded_at: dt.datetime | None = None, multiline: bool = False) -> DataFrame:
+    """The rows of a file drop as the raw table takes them.
+
+    JSON may be lines, or arrays with a known ``indent``; an indent is found from the first file.  Arrays of
+    any other form need ``array_files``.  ``multiline`` allows line breaks in quoted CSV fields.
+    """
     if table in schemas.DELIMITED:
-        df = readers.read_delimited(lake.spark, path, table)
+        df = readers.read_delimited(lake.spark, path, table, multiline)
         return readers.blank_to_null(readers.with_lineage(df, run_id, loaded_at))
+    if not array_files and (found_indent := readers.array_indent(lake.spark, path)):
+        array_files, indent = True, indent or found_indent
     found = readers.read_json_arrays(lake.spark, path, indent) if array_files else readers.read_json_lines(lake.spark, path)
     df = readers.with_lineage(found, run_id, loaded_at)
     return df.select(*schemas.raw_schema(table).fieldNames())
 
 
 def load_raw(lake: Lake, table: str, path: str, run_id: str | None = None, array_files: bool = False,
-             indent: int | None = None, archive_to: str | None = None, spread: int | None = None) -> int:
+             indent: int | None = None, archive_to: str | None = None, spread: int | None = None, multiline: bool = False,
+             delete_read: bool = False) -> int:
     """Append a file drop to a raw table, log the run and return the number of rows.
 
-    ``archive_to`` moves the files that were read there after success (I10).  ``spread`` deals the rows
+    ``archive_to`` moves the files that were read there after success, with their path below the first folder
+    without wildcards, and refuses to overwrite (I10); ``delete_read`` deletes them instead.  ``spread`` deals the rows
     to that many output files, for a few large compressed files that Spark cannot split (I7).
     """
     run_id = run_id or str(uuid.uuid4())
     started = utc_now()
     lake.log_run(table, run_id, STARTED, started, source=path)
     try:
-        df = read_raw(lake, table, path, run_id, array_files, indent)
-        files = df.inputFiles() if archive_to else []
+        df = read_raw(lake, table, path, run_id, array_files, indent, multiline=multiline)
+        files = df.inputFiles() if archive_to or delete_read else []
         rows = lake.append_raw(table, df.repartition(spread) if spread else df, run_id)
     except Exception as error:
         lake.log_run(table, run_id, FAILED, started, source=path, error=str(error))
         raise
     lake.log_run(table, run_id, SUCCESS, started, rows, path)
     for file in files:
-        _move(lake, file, archive_to)
+        if archive_to:
+            _move(lake, file, _root(path), archive_to)
+        else:
+            delete(lake.spark, file)
     return rows
 
 
-def _move(lake: Lake, file: str, folder: str) -> None:
+def _root(path: str) -> str:
+    """The folder of a path up to its first part with a wildcard; a plain file's own folder."""
+    parts = path.rstrip("/").split("/")
+    plain = next((i for i, p in enumerate(parts) if any(c in p for c in "*?[{")), len(parts))
+    return "/".join(parts[: plain if plain < len(parts) or "." not in parts[-1] else plain - 1])
+
+
+def _move(lake: Lake, file: str, root: str, folder: str) -> None:
     fs, source = hadoop_path(lake.spark, file)
-    _, target = hadoop_path(lake.spark, folder)
-    fs.mkdirs(target)
-    if not fs.rename(source, target):
-        raise OSError(f"could not move {file} to {folder}")
+    inside = source.toUri().getPath().partition(hadoop_path(lake.spark, root)[1].toUri().getPath().rstrip("/") + "/")[2]
+    _, target = hadoop_path(lake.spark, f"{folder.rstrip('/')}/{inside or source.getName()}")
+    fs.mkdirs(target.getParent())
+    if fs.exists(target) or not fs.rename(source, target):
+        raise OSError(f"could not move {file} to {target.toString()}")

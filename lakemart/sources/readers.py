@@ -45,8 +45,19 @@ def read_delimited(spark: SparkSession, path: str | list[str], table: str, multi
 
 
 def read_json_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """One variant row per line; splittable, so the form to land large data in."""
-    return _documents(spark.read).json(path)
+    """One variant row per line; splittable, so the form to land large data in.
+
+    A line that holds an array is one row per element.
+    """
+    return _elements(_documents(spark.read).json(path))
+
+
+def array_indent(spark: SparkSession, path: str | list[str]) -> int | None:
+    """The indent of the elements of an array that is written over several lines; None for lines of documents."""
+    head = [r[0] for r in spark.read.text(path).limit(2).collect()]
+    if len(head) == 2 and head[0].strip() == "[":
+        return len(head[1]) - len(head[1].lstrip())
+    return None
 
 
 def read_json_arrays(spark: SparkSession, path: str | list[str], indent: int | None = None) -> DataFrame:
@@ -78,7 +89,14 @@ def stream_files(spark: SparkSession, path: str, table: str, **options: str) ->
     reader = spark.readStream.options(**options)
     if table in schemas.DELIMITED:
         return _delimited(reader, table).csv(path)
-    return _documents(reader).schema(schemas.business_schema(table)).json(path)
+    return _elements(_documents(reader).schema(schemas.business_schema(table)).json(path))
+
+
+def _elements(documents: DataFrame) -> DataFrame:
+    """One row per element of a top-level array, other documents as they are."""
+    document = F.col(schemas.DOCUMENT_COLUMN)
+    elements = F.coalesce(F.try_variant_get(document, "$", "array<variant>"), F.array(document))
+    return documents.select(F.explode(elements).alias(schemas.DOCUMENT_COLUMN), F.col("_metadata"))
 
 
 def _delimited(reader, table: str):

@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from lakemart.operators.aggregates import count_rows
+from lakemart.operators.dedup import latest_per_key
+from lakemart.workspace import exists
+
+BATCH = "batch"
+EVENTS = "event_id string, event_type string, event_hour timestamp_ntz, _loaded_at timestamp_ntz"
+CHANGES = "event_hour timestamp_ntz, event_type string, events bigint"
 
 
 def hourly_events(events: DataFrame) -> DataFrame:
@@ -13,21 +20,41 @@ def hourly_events(events: DataFrame) -> DataFrame:
     return events.filter(F.col("event_hour").isNotNull()).groupBy("event_hour", "event_type").agg(count_rows().alias("events"))
 
 
-def stream_hourly_events(events: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """The same counts over a stream of cleaned events, each hour emitted once the watermark has passed it.
+def stream_hourly_events(events: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """The same counts over a stream of cleaned events, whatever the order in which they come.
+
+    An event that arrives again replaces its earlier version, also in another hour.  Each micro-batch adds
+    what it changes to the tables below ``path``; ``read_hourly`` adds the changes up.  No event is ever too late.
+    """
+    def add(batch: DataFrame, batch_id: int) -> None:
+        add_events(batch.sparkSession, batch, path, batch_id)
+
+    return events.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def add_events(spark: SparkSession, batch: DataFrame, path: str, batch_id: int) -> None:
+    """Add one micro-batch: its events, and the change of the counts of the hours that it touches.
 
-    An event that is delivered twice counts once; its identity is forgotten ``delay`` after its time, and
-    so are closed hours, which keeps the state bounded.  Watermarks need timestamps with time zone, so
-    the session must be in UTC.
+    What is written grows with the batch.  The versions known so far are read with four columns, to find
+    those of the events that came again.  A batch that is repeated replaces its own folders.
     """
-    once = (
-        events.filter(F.col("event_ts").isNotNull())
-        .select("event_id", "event_type", F.col("event_ts").cast("timestamp").alias("event_time"))
-        .withWatermark("event_time", delay)
-        .dropDuplicates(["event_id", "event_time"])
-    )
-    return (
-        once.groupBy(F.window("event_time", "1 hour").alias("hour"), "event_type")
-        .agg(count_rows().alias("events"))
-        .select(F.col("hour.start").cast("timestamp_ntz").alias("event_hour"), "event_type", "events")
-    )
+    new = latest_per_key(batch.select("event_id", "event_type", "event_hour", "_loaded_at"), ["event_id"], "_loaded_at")
+    seen, changes = f"{path}/events", f"{path}/changes"
+    new.write.mode("overwrite").parquet(f"{seen}/{BATCH}={batch_id}")
+    new = spark.read.schema(EVENTS).parquet(f"{seen}/{BATCH}={batch_id}")
+    known = spark.read.schema(f"{EVENTS}, {BATCH} bigint").option("basePath", seen).parquet(seen).filter(F.col(BATCH) < batch_id)
+    again = known.drop(BATCH).join(new.select("event_id"), "event_id", "left_semi")
+    old = latest_per_key(again, ["event_id"], "_loaded_at")
+    now = latest_per_key(new.unionByName(old), ["event_id"], "_loaded_at")
+    moves = now.withColumn("events", F.lit(1)).unionByName(old.withColumn("events", F.lit(-1))).filter(F.col("event_hour").isNotNull())
+    moved = moves.groupBy("event_hour", "event_type").agg(F.sum("events").alias("events")).filter(F.col("events") != 0)
+    moved.write.mode("overwrite").parquet(f"{changes}/{BATCH}={batch_id}")
+
+
+def read_hourly(spark: SparkSession, path: str) -> DataFrame:
+    """The counts after all batches so far."""
+    if not exists(spark, f"{path}/changes"):
+        return spark.createDataFrame([], CHANGES)
+    changes = spark.read.schema(CHANGES).parquet(f"{path}/changes")
+    counts = changes.groupBy("event_hour", "event_type").agg(F.sum("events").alias("events"))
+    return counts.filter(F.col("events") > 0)

@@ -50,8 +50,10 @@ def stream_latest(arrived: DataFrame, clean: Callable[[DataFrame], DataFrame], k
     """Keep ``table_path`` at the latest row per key while raw rows arrive."""
     def merge(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
-        merge_latest(batch.sparkSession, clean(batch), key, table_path, f"{checkpoint}/merged/{batch_id}", buckets)
-        batch.unpersist()
+        try:
+            merge_latest(batch.sparkSession, clean(batch), key, table_path, f"{checkpoint}/merged/{batch_id}", buckets)
+        finally:
+            batch.unpersist()
 
     return arrived.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -163,3 +163,13 @@ def test_documents_can_be_spread(spark, lake, drop):
     (drop / "a.json").write_text("\n".join(json.dumps({"event_id": i}) for i in range(10)))
     assert load_raw(lake, "raw_web_events", str(drop), spread=3) == 10
     assert lake.table(lake.raw, "raw_web_events").count() == 10
+
+
+def test_archived_files_keep_their_folders(spark, lake, tmp_path):
+    for folder, key in (("a", "1"), ("b", "2")):
+        (tmp_path / "drop" / folder).mkdir(parents=True)
+        (tmp_path / "drop" / folder / "c.csv").write_text("customer_id,customer_name,email,phone,city,country,segment,signup_date\n" + key + ",x,,p,c,n,s,2024-01-01\n")
+    assert load_raw(lake, "raw_customers", f"{tmp_path}/drop/*/c.csv", archive_to=str(tmp_path / "done")) == 2
+    assert sorted(p.parent.name for p in (tmp_path / "done").rglob("c.csv")) == ["a", "b"]
+    assert load_raw(lake, "raw_customers", f"{tmp_path}/done/*/c.csv", delete_read=True) == 2
+    assert not list((tmp_path / "done").rglob("c.csv"))

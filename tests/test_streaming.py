@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from checks import adapter
 from lakemart.plans import staging
-from lakemart.streaming.hourly import hourly_events, stream_hourly_events
+from lakemart.operators.dedup import latest_per_key
+from lakemart.streaming.hourly import add_events, hourly_events, read_hourly
 from lakemart.streaming.loads import merge_latest, read_latest, stream_raw
 
 HEADER = "customer_id,customer_name,email,phone,city,country,segment,signup_date\n"
@@ -48,15 +49,15 @@ def test_merge_keeps_the_latest_and_can_be_repeated(spark, tmp_path):
     assert sorted((r["k"], r["v"]) for r in read_latest(spark, table).collect()) == sorted(want)
 
 
-def test_hourly_stream_equals_the_batch(spark, small, tmp_path):
-    """A last event far in the future closes every hour before it."""
+def test_hourly_stream_counts_late_and_corrected_events(spark, small, tmp_path):
+    """Files in falling time order, and a second version of some events in another hour."""
     raw = adapter.raw(spark, small, "web_events")
-    last = raw.limit(1).select(F.expr("""parse_json('{"event_id": "last", "event_type": "end", "event_ts": "2030-01-01 00:00:00"}')""").alias("raw_data"), "_loaded_at", "_source_file", "_run_id")
-    raw.unionByName(last).write.parquet(str(tmp_path / "in"))
-    arriving = spark.readStream.schema(raw.schema).parquet(str(tmp_path / "in"))
-    counts = stream_hourly_events(staging.clean_web_events(arriving))
-    counts.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "ckpt")).trigger(availableNow=True).start(str(tmp_path / "out")).awaitTermination()
-    got = spark.read.schema(counts.schema).parquet(str(tmp_path / "out"))
-    want = hourly_events(staging.stg_web_events(raw))
+    events = staging.clean_web_events(raw).select("event_id", "event_type", "event_hour", "_loaded_at")
+    moved = events.limit(20).withColumns({"event_hour": F.expr("event_hour + interval 5 hours"), "_loaded_at": F.expr("_loaded_at + interval 9 days")})
+    for i, part in enumerate((events.where("event_hour >= '2024-01-20'"), events.where("event_hour < '2024-01-20' or event_hour is null"), moved, events.limit(30))):
+        add_events(spark, part, str(tmp_path / "out"), i)
+        add_events(spark, part, str(tmp_path / "out"), i)  # repeated after a failure
+    want = hourly_events(latest_per_key(events.union(moved), ["event_id"], "_loaded_at"))
+    got = read_hourly(spark, str(tmp_path / "out"))
     assert got.count() == want.count() > 0
     assert got.exceptAll(want).count() == 0
