@@ -33,6 +33,8 @@ class Order:
         value = F.col(self.column)
         if isinstance(df.schema[self.column].dataType, T.DateType):
             value = F.unix_date(value)
+        elif isinstance(df.schema[self.column].dataType, T.TimestampType | T.TimestampNTZType):
+            value = F.unix_micros(value.cast("timestamp"))
         is_null = value.isNull()
         null_rank = ~is_null if self.descending else is_null
         return [null_rank.cast("int").alias("null_rank"), (-value if self.descending else value).alias("value")]
@@ -47,8 +49,11 @@ def ntile_global(df: DataFrame, tiles: int, scores: dict[str, Order], unique: st
     """One NTILE column per entry of ``scores`` over all rows; ties are broken by ``unique``.
 
     ``df`` is read several times when it is large, so give a stored table; ``rows`` is its size if known.
+    A ``unique`` column that repeats is refused, whatever the size of the table.
     """
     rows = df.count() if rows is None else rows
+    if not df.groupBy(unique).count().filter("count > 1").isEmpty():
+        raise ValueError(f"{unique} is not unique, so tiles of rows with equal keys are not defined")
     if rows <= single_task_rows:
         return df.withColumns({out: F.ntile(tiles).over(Window.orderBy(order.key(df, unique))) for out, order in scores.items()})
     ends = tile_ends(rows, tiles)
@@ -103,7 +108,7 @@ def keys_at(keys: DataFrame, positions: list[int], rows: int, single_task_rows:
     while large:
         whole = large.pop()
         inside = keys.filter(whole.holds(key, key_type))
-        cuts = sample_cuts(inside, ranges)
+        cuts = sample_cuts(inside, ranges, whole.rows)
         counted = inside.groupBy(range_of(key, cuts, key_type).alias("part")).agg(F.count(F.lit(1)).alias("n"))
         counts = {r["part"]: r["n"] for r in counted.collect()}
         edges, before = [whole.low, *cuts, whole.high], whole.before
@@ -125,12 +130,17 @@ def keys_at(keys: DataFrame, positions: list[int], rows: int, single_task_rows:
     return {r["at"]: r["key"] for r in numbered.filter(F.col("at").isin(positions)).select("at", "key").collect()}
 
 
-def sample_cuts(keys: DataFrame, ranges: int) -> list[Row]:
+def sample_cuts(keys: DataFrame, ranges: int, rows: int | None = None) -> list[Row]:
     """At most ``ranges - 1`` ascending keys that cut the rows into about even ranges.
 
-    The sample has a fixed size, the rows with the smallest hashes, and is sorted in one small task.
+    The sample has a fixed size, the rows with the smallest hashes, and is sorted in one small task.  With the
+    number of ``rows``, only hashes that can be among them leave their tasks.
     """
-    sample = keys.orderBy(F.xxhash64("key")).limit(SAMPLES_PER_RANGE * ranges)
+    wanted = SAMPLES_PER_RANGE * ranges
+    place = F.xxhash64("key")
+    share = min(1.0, 2 * wanted / max(rows or 0, 1)) if rows else 1.0
+    near = keys if share == 1.0 else keys.filter(place <= int(-(2**63) + share * 2**64) - 1)
+    sample = near.orderBy(place).limit(wanted)
     ordered = sample.agg(F.sort_array(F.collect_list("key"))).first()[0]
     step = max(1, -(-len(ordered) // ranges))
     cuts: list[Row] = []

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from lakemart.operators.dedup import latest_per_key
 from lakemart.sources import readers, schemas
 from lakemart.sources.lake import FAILED, STARTED, SUCCESS, Lake, utc_now
-from lakemart.workspace import delete, exists, write_counted
+from lakemart.workspace import delete, exists, hadoop_path, write_counted
 
 BUCKET = "key_bucket"
 
@@ -66,13 +66,11 @@ def merge_latest(spark: SparkSession, changes: DataFrame, key: str, table_path:
     starts from that copy, not from a table that may be half replaced.
     """
     changes = changes.withColumn(BUCKET, F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+    _keep_buckets(spark, table_path, buckets)
     if not exists(spark, f"{merged_path}/_SUCCESS"):
-        merged = changes
-        if exists(spark, table_path):
-            changed = [r[0] for r in changes.select(BUCKET).distinct().collect()]  # at most `buckets` numbers
-            current = spark.read.schema(changes.schema).parquet(table_path).filter(F.col(BUCKET).isin(changed))
-            merged = changes.unionByName(current)
-        latest = latest_per_key(merged, [key], "_loaded_at").hint("rebalance", BUCKET)
+        changed = [r[0] for r in changes.select(BUCKET).distinct().collect()]  # at most `buckets` numbers
+        current = spark.read.schema(changes.schema).parquet(table_path).filter(F.col(BUCKET).isin(changed))
+        latest = latest_per_key(changes.unionByName(current), [key], "_loaded_at").hint("rebalance", BUCKET)
         write_counted(latest, merged_path, "overwrite", [BUCKET])
     stored = spark.read.schema(changes.schema).parquet(merged_path)
     rows = write_counted(stored, table_path, "overwrite", [BUCKET], partitionOverwriteMode="dynamic")
@@ -80,6 +78,18 @@ def merge_latest(spark: SparkSession, changes: DataFrame, key: str, table_path:
     return rows
 
 
+def _keep_buckets(spark: SparkSession, table_path: str, buckets: int) -> None:
+    """The number of buckets stands with the table: with another one, a key would be looked for in the wrong place."""
+    fs, folder = hadoop_path(spark, table_path)
+    name = f"_buckets_{buckets}"
+    marks = [f.getPath().getName() for f in fs.listStatus(folder) if f.getPath().getName().startswith("_buckets_")] if fs.exists(folder) else []
+    if marks and marks != [name]:
+        raise ValueError(f"{table_path} was made with {marks[0].removeprefix('_buckets_')} buckets, not {buckets}")
+    if not marks:
+        fs.mkdirs(folder)
+        fs.create(hadoop_path(spark, f"{table_path}/{name}")[1], True).close()
+
+
 def read_latest(spark: SparkSession, table_path: str) -> DataFrame:
     """The merged table without its bucket column."""
     return spark.read.parquet(table_path).drop(BUCKET)

@@ -69,8 +69,17 @@ def test_large_ntile_moves_no_rows(spark):
 
 def test_ntile_needs_unique_keys(spark):
     df = spark.range(100).selectExpr("1 as id", "1 as v")
-    with pytest.raises(ValueError, match="unique"):
-        ntile_global(df, 5, {"t": Order("v")}, "id", single_task_rows=10)
+    for limit in (10, 1000):
+        with pytest.raises(ValueError, match="unique"):
+            ntile_global(df, 5, {"t": Order("v")}, "id", single_task_rows=limit)
+
+
+@pytest.mark.parametrize("limit", [50, 5000])
+def test_ntile_of_tied_times_is_the_same_at_any_limit(spark, limit):
+    df = spark.range(3000).selectExpr("id", "timestamp_ntz'2024-01-01' + make_interval(0, 0, 0, int(id % 5)) as v")
+    got = ntile_global(df, 7, {"t": Order("v", descending=True)}, "id", single_task_rows=limit)
+    assert [r["count"] for r in got.groupBy("t").count().orderBy("t").collect()] == [429] * 4 + [428] * 3
+    assert got.exceptAll(df.selectExpr("*", "cast(ntile(7) over (order by v desc, id) as int) as t")).count() == 0
 
 
 def test_tile_ends():

@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from checks import adapter
@@ -49,6 +50,12 @@ def test_merge_keeps_the_latest_and_can_be_repeated(spark, tmp_path):
     assert sorted((r["k"], r["v"]) for r in read_latest(spark, table).collect()) == sorted(want)
 
 
+def test_merge_refuses_another_number_of_buckets(spark, tmp_path):
+    merge_latest(spark, changes(spark, ("a", 1, 1)), "k", str(tmp_path / "t"), str(tmp_path / "m0"), 4)
+    with pytest.raises(ValueError, match="4 buckets"):
+        merge_latest(spark, changes(spark, ("a", 2, 1)), "k", str(tmp_path / "t"), str(tmp_path / "m1"), 8)
+
+
 def test_hourly_stream_counts_late_and_corrected_events(spark, small, tmp_path):
     """Files in falling time order, and a second version of some events in another hour."""
     raw = adapter.raw(spark, small, "web_events")
