@@ -8,14 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lakemart.llm import bitplane_store, license_join, projection_search, quality_forest, runlength_dedup, secret_forest, simhash_dedup, source_mixing, token_automaton, toxicity_subword
+from lakemart.llm import bitplane_store, license_join, oracles, projection_search, quality_forest, runlength_dedup, secret_forest, simhash_dedup, source_mixing, token_automaton, toxicity_subword
 
 #: Folder of the public vocabularies.
 TOKENIZERS = "/opt/tokenizers"
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = dict(oracles.ORACLES)
 
 
 def query(run: Query) -> Query:

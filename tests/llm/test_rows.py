@@ -121,3 +121,17 @@ def test_pipeline_stage_by_stage(spark, small):
 def test_all_are_registered():
     names = contract.queries()
     assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)) and "pipeline" in names
+
+
+def test_queries_equal_their_sql(spark, small):
+    from collections import Counter
+
+    from checks.compare import connect
+    from lakemart.llm.queries import ORACLES, QUERIES
+
+    for name, sql in ORACLES.items():
+        result = connect(small).execute(sql)
+        columns = [d[0] for d in result.description]
+        got = QUERIES[name](spark, small)
+        assert sorted(got.columns) == sorted(columns)
+        assert Counter(map(tuple, got.select(*columns).collect())) == Counter(result.fetchall())
