@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lakemart.operators.dedup import latest_per_key
-from lakemart.sources import readers, schemas
+from lakemart.sources import readers
 from lakemart.sources.lake import FAILED, STARTED, SUCCESS, Lake, utc_now
 from lakemart.workspace import delete, exists, hadoop_path, write_counted
 
