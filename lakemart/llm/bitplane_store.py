@@ -74,10 +74,14 @@ class Known(dict):
 
     def __init__(self, model):
         self.tokenize = model.tokenize
+        self.space = byte_symbols()[0x20]
         self.symbols = str.maketrans({chr(b): c for b, c in enumerate(byte_symbols())})
 
     def __missing__(self, word: str) -> bytes:
-        tokens = self.tokenize(word.encode().decode("latin-1").translate(self.symbols))
+        if word.isascii() and not word.isspace():  # of these, only the space is written otherwise
+            tokens = self.tokenize(word.replace(" ", self.space))
+        else:
+            tokens = self.tokenize(word.encode().decode("latin-1").translate(self.symbols))
         found = self[word] = array("I", [t.id for t in tokens]).tobytes()
         return found
 
