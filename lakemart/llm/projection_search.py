@@ -151,14 +151,14 @@ def usable(vector: str) -> Column:
 
 def nearest(
     table: DataFrame, is_query: Column, id_col: str = "vec_id", vector: str = "embedding", k: int = 10, m: int = 8, confidence: float = 0.95,
-    sample_rows: int = 20_000, seed: int = 1,
+    sample_rows: int = 1_000_000, seed: int = 1,
 ) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the k nearest found of each row for which ``is_query`` (over the columns
     ``vec_id`` and ``vector``) holds, itself left out, ties to the smaller id.
 
     Equal vectors are one point that carries its k + 1 least ids, which is all that a result can need.  NULL vectors,
     NULL ids, vectors that are not ``usable`` and those of another length than most take no part.  Rows that repeat an
-    id count once for each vector.  The tree's top is cut on ``sample_rows`` points; every point is indexed.  Empty
+    id count once for each vector.  The tree's top is cut on 64 points for each cell, ``sample_rows`` (of m numbers each) at most; every point is indexed.  Empty
     tables and single vectors give no rows; further columns are not read.
     """
     spark = table.sparkSession
@@ -182,7 +182,7 @@ def nearest(
     points = stored(members.mapInArrow(project, f"vector {kind}, ids array<bigint>, place array<double>").withColumn("class_id", F.col("ids")[0]), "points")
     total = points.count()
     depth = max(0, math.ceil(math.log2(max(1, total / CELL))))
-    sample = bounded_sample(points, "class_id", sample_rows, total).select("place").toPandas()["place"]
+    sample = bounded_sample(points, "class_id", min(sample_rows, 64 * 2**depth), total).select("place").toPandas()["place"]
     cuts = Cuts(np.array(sample.tolist()).reshape(-1, m), depth)
     ratio = stop_ratio(confidence, m)
 
