@@ -23,10 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.pretokens import REMEMBERED, WORD_LEVEL, byte_symbols, usual
+from lakemart.llm.pretokens import WORD_LEVEL, byte_symbols, usual
 from lakemart.llm.texts import map_texts
 
 NEVER = 1 << 62
+#: Distinct words that a task remembers; it has the transition table to hold as well.
+REMEMBERED = 400_000
 
 
 class Automaton:
