@@ -67,7 +67,7 @@ class Automaton:
         """The transition table, filled where it is used."""
         found = self.table.get((last, token))
         if found is None:
-            if len(self.table) > 10 * REMEMBERED:
+            if len(self.table) > 2 * REMEMBERED:
                 self.table.clear()
             found = self.table[last, token] = self._arc(last, token)
         return found
