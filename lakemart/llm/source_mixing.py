@@ -4,8 +4,10 @@ The rows of each source are cut into blocks.  Block j of a source of weight w is
 at slot ceil((j + 1) / w); in every slot the released block with the earliest deadline runs.  With weights that add
 up to 1 this meets all deadlines, so after any number of slots every source is less than one block from its share.
 
-Weights are whole shares of ``period`` slots, after which all sources are exactly at their share: the schedule of one
-period, a table of fixed size, gives the slot of any block by arithmetic.
+Every source reserves its weight of ``period`` slots, rounded up to whole ones: the schedule of one period, a table of
+fixed size, gives the slot of any reserved block by arithmetic.  A source passes over reserved slots evenly, so that it
+keeps its exact weight, however rare it is; slots that are passed over, or whose source has run out, stay empty and the
+mix goes on with the next one.
 """
 
 from __future__ import annotations
@@ -20,17 +22,21 @@ from pyspark.sql import functions as F
 from lakemart.llm.texts import fresh_name
 
 
-def whole_shares(weights: dict, period: int) -> dict:
-    """Weights as whole slots of a period, by largest remainders; every source gets a slot at least.  The period grows
-    with the sources, so that the rounding stays below a hundredth of the mean weight."""
+#: Parts of a slot in which exact shares are told.
+PARTS = 1 << 20
+
+
+def exact_shares(weights: dict, period: int) -> dict:
+    """Slots of a period that each source fills on average."""
     period = max(period, 100 * len(weights))
     total = sum(map(Fraction, weights.values()))
-    exact = {s: Fraction(w) * period / total for s, w in weights.items()}
-    shares = {s: max(1, math.floor(x)) for s, x in exact.items()}
-    order = sorted(exact, key=lambda s: (shares[s] - exact[s], str(s)))
-    for k in range(max(0, period - sum(shares.values()))):
-        shares[order[k % len(order)]] += 1
-    return shares
+    return {s: Fraction(w) * period / total for s, w in weights.items()}
+
+
+def whole_shares(weights: dict, period: int) -> dict:
+    """Slots of a period that each source reserves: its exact share, rounded up.  The period grows with the sources, so
+    that the rounding adds less than a hundredth."""
+    return {s: math.ceil(x) for s, x in exact_shares(weights, period).items()}
 
 
 def schedule(shares: dict) -> list[tuple]:
@@ -50,23 +56,30 @@ def schedule(shares: dict) -> list[tuple]:
 
 def capped_weights(counts: dict, cap: float) -> dict:
     """Weights in proportion to ``counts``, none above ``cap`` of the whole (or an equal share, if that is more)."""
-    cap = max(cap, 1 / max(len(counts), 1))
+    cap = max(Fraction(cap), Fraction(1, max(len(counts), 1)))
     weights, fixed = {s: Fraction(n) for s, n in counts.items()}, set()
     while True:
         total = sum(weights[s] for s in weights if s not in fixed)
-        room = 1 - Fraction(cap) * len(fixed)
-        over = {s for s in weights if s not in fixed and weights[s] * room > Fraction(cap) * total}
+        room = 1 - cap * len(fixed)
+        over = {s for s in weights if s not in fixed and weights[s] * room > cap * total}
         if not over:
-            return {s: Fraction(cap) if s in fixed else weights[s] * room / total for s in weights}
+            return {s: cap if s in fixed else weights[s] * room / total for s in weights}
         fixed |= over
 
 
+def taken_rows(counts: dict, targets: dict) -> dict:
+    """Rows of each source in the largest mix of the capped ``targets``: all, but of capped sources only their share."""
+    whole = min((Fraction(counts[s]) / w for s, w in targets.items()), default=0)  # sources below the cap all give this
+    return {s: math.floor(whole * w) for s, w in targets.items()}
+
+
 def mix(docs: DataFrame, weights: dict | None = None, source: str = "source", cap: float = 0.25, block_rows: int = 16, period: int = 1000, seed: int = 2) -> DataFrame:
     """Every row of ``docs`` with its place in the mix: block, slot, release, deadline, in_mix.
 
-    Rows of a source follow the hash of their values.  in_mix is true up to the slot at which the first source has no
-    whole block left: up to there the targets hold with less than one block of deviation and no row repeats.  Without
-    ``weights`` the shares are those of the table, capped at ``cap``: then only capped sources have rows beyond.  A
+    Rows of a source follow the hash of their values; its last block may be a part.  A source that has run out leaves
+    its slots empty and the others go on; until then each is less than two blocks from its share.  No row repeats.
+    Without ``weights`` the shares are those of the table, capped at ``cap``, and in_mix is true but for the rows of
+    capped sources above the cap; with ``weights`` it is true for all rows of their sources.  A
     source without a weight is not mixed (NULL places, in_mix false); one with a weight but without rows is left out.
     NULL is a source like any other.  Repeated rows are places of their own; an empty table gives an empty one.
     Columns named like the new ones are replaced.
@@ -76,13 +89,11 @@ def mix(docs: DataFrame, weights: dict | None = None, source: str = "source", ca
     columns = [c for c in docs.columns if c.lower() not in new]
     counts = {r[0]: r[1] for r in docs.groupBy(F.col(f"`{source}`")).count().collect()}  # a row for each source
     targets = capped_weights(counts, cap) if weights is None else {s: w for s, w in weights.items() if w > 0 and counts.get(s)}
+    quota = taken_rows(counts, targets) if weights is None else {s: counts[s] for s in targets}
     shares = whole_shares(targets, period) if targets else {}
+    parts = {s: math.ceil(x * PARTS) for s, x in exact_shares(targets, period).items()} if targets else {}
     length = sum(shares.values())
-    table = spark.createDataFrame([(s, j, slot, r, d, shares[s]) for s, j, slot, r, d in schedule(shares)], "_s string, _j int, _slot int, _release int, _deadline int, _share int")
-    # The mix ends before the first slot that a source can't fill with a whole block.
-    full = {s: counts[s] // block_rows for s in shares}
-    slots = {(s, j): slot for s, j, slot, _, _ in schedule(shares)}
-    end = min((full[s] // a * length + slots[s, full[s] % a] for s, a in shares.items()), default=0)
+    table = spark.createDataFrame([(s, j, slot, r, d) for s, j, slot, r, d in schedule(shares)], "_s string, _j int, _slot int, _release int, _deadline int")
     # Rows are numbered within (source, bucket); the buckets' sizes, far fewer than rows, give the offsets.
     buckets = max(1, -(-sum(counts.values()) // 4096))
     names = {c: fresh_name(docs, c) for c in ("_order", "_bucket", "_row", "_before", "_block")}
@@ -96,18 +107,22 @@ def mix(docs: DataFrame, weights: dict | None = None, source: str = "source", ca
     )
     numbered = keyed.withColumn(row, F.row_number().over(Window.partitionBy(source, bucket).orderBy(order)) - 1)
     numbered = numbered.join(offsets, F.col(source).eqNullSafe(F.col("_s")) & (F.col(bucket) == F.col("_b"))).drop("_s", "_b")
-    blocked = numbered.withColumn(block, F.floor((F.col(row) + F.col(before)) / block_rows))
-    # The schedule of one period is a table of fixed size.
-    share = F.create_map(*[x for s, a in shares.items() if s is not None for x in (F.lit(s), F.lit(a))]) if any(s is not None for s in shares) else None
-    own = F.when(F.col(source).isNull(), F.lit(shares.get(None)).cast("int")).otherwise(share[F.col(source).cast("string")] if share is not None else F.lit(None).cast("int"))
-    placed = blocked.withColumn("_own", own)
+    numbered = numbered.withColumn(row, F.col(row) + F.col(before)).withColumn(block, F.floor(F.col(row) / block_rows))
+    # What is known of the sources is a map, the schedule of one period a table of fixed size.
+    known = lambda s: F.struct(F.lit(shares[s]).cast("bigint").alias("share"), F.lit(parts[s]).cast("bigint").alias("parts"), F.lit(quota[s]).cast("bigint").alias("quota"))
+    nothing = F.lit(None).cast("struct<share: bigint, parts: bigint, quota: bigint>")
+    named = [x for s in shares if s is not None for x in (F.lit(s).cast("string"), known(s))]
+    own = F.when(F.col(source).isNull(), known(None) if None in shares else nothing).otherwise(F.create_map(*named)[F.col(source).cast("string")] if named else nothing)
+    # Block j takes reserved slot floor(j * share / exact share) of its source.
+    passed = F.expr(f"(`{block}` * (_own.share * {PARTS} - _own.parts)) div _own.parts")
+    placed = numbered.withColumn("_own", own).withColumn("_at", F.col(block) + passed)
     placed = placed.join(
-        F.broadcast(table), F.col(source).cast("string").eqNullSafe(F.col("_s")) & ((F.col(block) % F.col("_own")).cast("int") == F.col("_j")), "left"
+        F.broadcast(table), F.col(source).cast("string").eqNullSafe(F.col("_s")) & ((F.col("_at") % F.col("_own.share")).cast("int") == F.col("_j")), "left"
     )
-    base = F.floor(F.col(block) / F.col("_own")) * length
+    base = F.floor(F.col("_at") / F.col("_own.share")) * length
     return placed.select(
         *[F.col(f"`{c}`") for c in columns], F.col(block).alias("block"), (base + F.col("_slot")).alias("slot"), (base + F.col("_release")).alias("release"),
-        (base + F.col("_deadline")).alias("deadline"), F.coalesce(base + F.col("_slot") < end, F.lit(False)).alias("in_mix"),
+        (base + F.col("_deadline")).alias("deadline"), F.coalesce(F.col(row) < F.col("_own.quota"), F.lit(False)).alias("in_mix"),
     )
 
 
