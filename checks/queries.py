@@ -452,14 +452,21 @@ def stream_events_hourly(spark, sf):
     return read_hourly(spark, path)
 
 
+#: About so many characters of documents go into one array.
+ARRAY_CHARS = 32 << 20
+
+
 def landed_array(spark, sf, name: str, indent: int | None) -> str:
-    """Raw documents as files of one JSON array each, elements indented or all on one line."""
-    lines = adapter.raw(spark, sf, name).select(F.to_json("raw_data").alias("line"), F.spark_partition_id().alias("part"))
+    """Raw documents as files of one JSON array each, elements indented or all on one line; larger inputs make more files."""
+    lines = adapter.raw(spark, sf, name).select(F.to_json("raw_data").alias("line"), F.monotonically_increasing_id().alias("id"))
     spaces = "\n" + " " * (indent or 0) if indent else ""
     inner = F.regexp_replace(F.regexp_replace("line", r"^\{", "{" + "\n" + " " * 2 * (indent or 1)), r"\}$", spaces + "}") if indent else F.col("line")
     joined = F.concat(F.lit("[" + spaces), F.array_join(F.collect_list(inner), "," + spaces), F.lit("\n]" if indent else "]"))
     path = fresh_path(spark, "arrays")
-    lines.groupBy(F.pmod(F.xxhash64("line"), F.lit(8)).alias("part")).agg(joined.alias("value")).select("value").write.option("maxRecordsPerFile", 1).text(path)
+    chars = lines.agg(F.sum(F.length(inner) + F.lit(2 + len(spaces)))).first()[0] or 0
+    files = max(8, -(-chars // ARRAY_CHARS))
+    # With its own id in the hash, a line that repeats goes to all files.
+    lines.groupBy(F.pmod(F.xxhash64("line", "id"), F.lit(files)).alias("part")).agg(joined.alias("value")).select("value").write.option("maxRecordsPerFile", 1).text(path)
     return path
 
 

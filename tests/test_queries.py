@@ -1,8 +1,12 @@
 """Every registered query against its SQL on the smallest test tables."""
 
+import json
+
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
+from checks import queries
 from checks.compare import connect, differences
 from checks.oracles import ORACLES
 from checks.queries import QUERIES
@@ -30,3 +34,13 @@ def test_query_equals_sql(spark, con, small, name):
 
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("indent", [2, None])
+def test_landed_arrays_are_bounded(spark, monkeypatch, indent):
+    lines = spark.range(4000).select(F.struct(F.lit("x" * 100).alias("a")).alias("raw_data"))
+    monkeypatch.setattr(queries.adapter, "raw", lambda *_: lines)
+    monkeypatch.setattr(queries, "ARRAY_CHARS", 20_000, raising=False)
+    files = [r[0] for r in spark.read.text(queries.landed_array(spark, "", "any", indent), wholetext=True).collect()]
+    assert max(map(len, files)) < 40_000
+    assert [x for f in files for x in json.loads(f)] == [{"a": "x" * 100}] * 4000
