@@ -1,6 +1,7 @@
 """Secret scans: candidates by pattern, false positives removed by a random forest, by built-in functions only.
 
-A candidate is a run of key characters with a digit (or a known prefix).  The forest sees its length, the transitions between kinds of
+A candidate is a run of key characters with a digit (or a known prefix), or whatever is assigned to a guarding word:
+six characters or more up to white space, or up to the end of its quotes.  The forest sees its length, the transitions between kinds of
 characters, how much of it dictionary words cover, the path (source) it comes from and the words beside it.  It is
 trained from labelled findings and becomes one SQL expression, so scanning and masking are projections: no row moves,
 and no text leaves the JVM.
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from lakemart.llm.texts import fresh_name, stored
 
 KEY = "[A-Za-z0-9+/_-]"
-CANDIDATE = f"(?<!{KEY})(?=AKIA[A-Z]{{16}}|[A-Za-z+/_-]*+[0-9]){KEY}{{16,}}+"
+RUN = f"(?<!{KEY})(?=AKIA[A-Z]{{16}}|[A-Za-z+/_-]*+[0-9]){KEY}{{16,}}+"
 #: Characters before and after a candidate that the forest may look at.
 BESIDE = 40
 MASK = "[SECRET]"
@@ -30,10 +31,25 @@ DICTIONARY = (
     "method|model|module|name|node|number|object|option|page|placeholder|post|process|product|project|query|replace|report|request|"
     "response|sample|secret|server|service|session|set|source|string|system|table|temp|test|text|token|type|update|user|value|version|web|your"
 )
+#: Words of passwords that people choose, and values that stand where a password would.
+CHOSEN = (
+    "winter|summer|autumn|spring|dragon|monkey|horse|battery|staple|correct|sunshine|princess|football|welcome|shadow|master|"
+    "purple|orange|silver|coffee|letmein|pepper|tiger|london|paris|berlin|guitar|rocket|cookie|flower|marble|thunder"
+)
+PLAIN = (
+    "required|optional|none|null|true|false|string|invalid|missing|changed|reset|protected|expired|incorrect|undefined|unknown|"
+    "disabled|enabled|redacted|hidden|changeme|default|empty|removed|forgotten|wrong|should|must|needed|please|enter|cannot|here"
+)
 #: Words before a secret, and before numbers that are none.
 GUARDING = "pass|passwd|password|pwd|secret|token|key|auth|credential|credentials|bearer|apikey|signature"
 HARMLESS = "commit|sha|sha1|sha256|md5|checksum|digest|etag|uuid|guid|id|version|revision|build|image|card|order|phone|isbn|base64"
 
+#: What is assigned to a guarding word; single characters are looked at before the words are.
+ASSIGNED = r"""["']?\s{0,3}[:=]>?\s{0,3}"""
+BEHIND = rf"""(?<=[=:>\s"'])(?<=[=:]>?\s{{0,3}}["']?)(?<=(?i:{GUARDING}){ASSIGNED}["']?)"""
+VALUE = rf"""(?:(?<=")[^"\n]{{5,127}}[^"\n](?=")|(?<=')[^'\n]{{5,127}}[^'\n](?=')|[^\s"']{{5,}}[^\s"'.,;)\]])"""
+CANDIDATE = f"{BEHIND}{VALUE}|{RUN}"
+
 #: Features of ``c.candidate``, ``c.before``, ``c.after``, ``c.path`` in SQL.
 FEATURES = {
     "length": "length(c.candidate)",
@@ -51,12 +67,17 @@ FEATURES = {
     "guarding": rf"cast(lower(c.before) rlike '({GUARDING})[^a-z0-9]{{0,6}}$' as int)",
     "harmless": rf"cast(lower(c.before) rlike '({HARMLESS})[^a-z0-9]{{0,6}}$' as int)",
     "assigned": r"""cast(c.before rlike '[=:]\\s*["\']?$' as int)""",
+    "strong": r"""cast(lower(c.before) rlike '(pass|passwd|password|pwd|secret)["\']?\\s*[:=]>?\\s*["\']?$' as int)""",
+    "others": r"regexp_count(c.candidate, '[^A-Za-z0-9+/_-]') / length(c.candidate)",
+    "spaces": r"regexp_count(c.candidate, '\\s') / length(c.candidate)",
+    "coded": r"""cast(c.candidate rlike '[(){}<>$]|\\[|^[A-Za-z_]+[.][A-Za-z_.]+$|^[*.xX#?-]+$|^[A-Z]+(_[A-Z]+)*$|^[a-z]+(_[a-z]+)+$' as int)""",
+    "plain": rf"cast(lower(c.candidate) rlike '^[^a-z]*({PLAIN}|{DICTIONARY})[^a-z]*([^a-z]({PLAIN}|{DICTIONARY})[^a-z]*)*$' as int)",
     "quoted": r"""cast(c.after rlike '^["\']' as int)""",
     "test_path": "cast(lower(c.path) rlike 'test|example|sample|mock|fixture|docs?/' as int)",
 }
 
 
-def labelled_findings(spark: SparkSession, rows: int = 4000) -> DataFrame:
+def labelled_findings(spark: SparkSession, rows: int = 10000) -> DataFrame:
     """Findings with labels (candidate, before, after, path, label) of the usual kinds, for training.
 
     The tables hold no labelled findings, so these are made: keys and passwords as services hand them out, and what is
@@ -71,6 +92,14 @@ def labelled_findings(spark: SparkSession, rows: int = 4000) -> DataFrame:
     guard = f"element_at(split('{GUARDING}', '[|]'), cast(1 + pmod(xxhash64(id, 6), 13) as int))"
     harmless = f"element_at(split('{HARMLESS}', '[|]'), cast(1 + pmod(xxhash64(id, 7), 17) as int))"
     sign = """element_at(array('=', ': ', ' = "', ' '), cast(1 + pmod(xxhash64(id, 8), 4) as int))"""
+    chosen = f"element_at(split('{CHOSEN}', '[|]'), cast(1 + pmod(xxhash64(id, {{}}), 32) as int))"
+    plain = f"element_at(split('{PLAIN}', '[|]'), cast(1 + pmod(xxhash64(id, {{}}), 31) as int))"
+    strong = "element_at(array('pass', 'passwd', 'password', 'pwd', 'secret', 'DB_PASSWORD', 'user_password'), cast(1 + pmod(xxhash64(id, 11), 7) as int))"
+    weak = "element_at(array('token', 'key', 'auth', 'credential', 'credentials', 'bearer', 'signature'), cast(1 + pmod(xxhash64(id, 26), 7) as int))"
+    told = """element_at(array('=', ': ', ' = "', '="', ':', " = '"), cast(1 + pmod(xxhash64(id, 12), 6) as int))"""
+    mark = "element_at(array('!', '@', '#', '%', '.', '$', '&', '*', '-', ''), cast(1 + pmod(xxhash64(id, {}), 10) as int))"
+    year, short = "cast(1950 + pmod(id, 90) as string)", "cast(8 + pmod(xxhash64(id, 13), 8) as int)"
+    broken = f"concat(substr({mixed}, 1, 4), {mark.format(14)}, substr({mixed}, 5, cast(1 + pmod(id, 4) as int)), {mark.format(15)}, substr({mixed}, 10, cast(1 + pmod(id, 5) as int)))"
     kinds = [
         (1, f"concat('AKIA', substr({upper}, 1, 16))", prose),
         (1, f"concat('AKIA', substr({upper}, 1, 16))", f"concat({guard}, {sign})"),
@@ -79,6 +108,27 @@ def labelled_findings(spark: SparkSession, rows: int = 4000) -> DataFrame:
         (1, f"substr({hexed}, 1, cast(16 + pmod(id, 40) as int))", f"concat({guard}, {sign})"),
         (1, f"substr({mixed}, 1, cast(20 + pmod(id, 22) as int))", f"concat({guard}, {sign})"),
         (1, f"concat('ghp_', substr({mixed}, 1, 36))", prose),
+        (1, f"concat(initcap({chosen.format(21)}), {year}, {mark.format(16)})", f"concat({prose}, {strong}, {told})"),
+        (1, f"concat({chosen.format(21)}, pmod(id, 997), {mark.format(16)})", f"concat({prose}, {strong}, {told})"),
+        (1, broken, f"concat({strong}, {told})"),
+        (1, f"substr({mixed}, 1, {short})", f"concat({prose}, {strong}, {told})"),
+        (1, broken, f"concat({guard}, {told})"),
+        (1, f"translate(substr({mixed}, 1, cast(18 + pmod(id, 22) as int)), '0123456789', 'ghijKLMNop')", f"concat({guard}, {told})"),
+        (1, f"concat_ws(if(id % 2 = 0, '-', ' '), {chosen.format(21)}, {chosen.format(22)}, {chosen.format(23)}, {chosen.format(24)})", f"concat({prose}, {strong}, ' = \"')"),
+        (1, f"concat({chosen.format(21)}, {chosen.format(22)})", f"concat({strong}, {told})"),
+        (0, plain.format(25), f"concat({prose}, {guard}, {told})"),
+        (0, plain.format(25), f"concat({prose}, {strong}, {told})"),
+        (0, f"concat({plain.format(25)}, if(id % 2 = 0, ' ', '-'), {word.format(1)})", f"concat({strong}, {told})"),
+        (0, word.format(1), f"concat({prose}, {strong}, {told})"),
+        (0, f"concat({word.format(1)}, '.', {word.format(2)}, if(id % 2 = 0, '(', '_'), {word.format(3)})", f"concat({strong}, {told})"),
+        (0, f"concat({word.format(1)}, '[', {word.format(2)})", f"concat({guard}, {told})"),
+        (0, f"concat('${{', upper({word.format(1)}), '_', upper({word.format(2)}), '}}')", f"concat({strong}, {told})"),
+        (0, f"concat('<', {plain.format(25)}, '-', {word.format(1)}, '>')", f"concat({strong}, {told})"),
+        (0, "repeat(substr('*xX.#', cast(1 + pmod(id, 5) as int), 1), cast(6 + pmod(id, 9) as int))", f"concat({strong}, {told})"),
+        (0, f"concat({chosen.format(21)}, if(id % 2 = 0, ' ', ''), {word.format(2)})", f"concat({prose}, {weak}, ': ')"),
+        (0, f"concat({chosen.format(21)}, if(id % 2 = 0, {chosen.format(22)}, ''))", f"concat({prose}, {weak}, {told})"),
+        (0, f"concat({word.format(1)}, ' ', {chosen.format(2)}, ' ', {word.format(3)}, ' ', {chosen.format(4)})", f"concat({weak}, ': \"')"),
+        (0, "cast(1000000 + pmod(xxhash64(id), 90000000) as string)", f"concat({weak}, ': ')"),
         (0, f"substr({hexed}, 1, 40)", f"concat({harmless}, {sign})"),
         (0, f"substr({hexed}, 1, cast(16 + pmod(id, 40) as int))", prose),
         (0, f"regexp_replace({hexed}, '^(.{{8}})(.{{4}})(.{{4}})(.{{4}})(.{{12}}).*$', '$1-$2-$3-$4-$5')", f"concat({harmless}, {sign})"),

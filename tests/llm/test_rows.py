@@ -123,6 +123,24 @@ def test_secrets_and_masks(spark, odd, empty):
     assert secret_forest.secrets(empty).count() == 0
 
 
+QUOTES = "\"'"
+GUARDED = {
+    "password=": ["Winter2024", "summer77!", "k7Qp9xZ2"], "pwd: ": ["S3cr.et!9xK", "Tr0ub4dor&3"], "DB_PASSWORD='": ["dragon#1987x"],
+    'password = "': ["correct horse battery staple", "purple-coffee-tiger-rocket"], 'api_key = "': ["hQzKwXvTgBnMpLrYcDfJ"],
+}
+ORDINARY = ["password: required", "password=None or", "token: self.token,", "password = get_password(user)", "secret=${DB_SECRET}", "pwd=********", "password=<your-password>", "the key: understanding of", "token: string"]
+
+
+def test_short_and_broken_secrets(spark):
+    lines = [f"with {guard}{value}{guard[-1] if guard[-1] in QUOTES else ''} and so on" for guard, values in GUARDED.items() for value in values]
+    rows = [(i, x, "src", len(x)) for i, x in enumerate([*lines, *ORDINARY])]
+    masked = secret_forest.mask_secrets(spark.createDataFrame(rows, "doc_id int, text string, source string, n_chars int"))
+    got = {r["doc_id"]: r["text"] for r in masked.collect()}
+    values = [v for x in GUARDED.values() for v in x]
+    assert {i: got[i] for i in range(len(lines))} == {i: x.replace(v, secret_forest.MASK) for i, (x, v) in enumerate(zip(lines, values, strict=True))}
+    assert [got[len(lines) + i] for i in range(len(ORDINARY))] == ORDINARY
+
+
 def test_pipeline_stage_by_stage(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     labels = spark.read.parquet(f"{small}/labels.parquet")
