@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lakemart.llm import bitplane_store, license_join, oracles, projection_search, quality_forest, runlength_dedup, secret_forest, simhash_dedup, source_mixing, token_automaton, toxicity_subword
+from lakemart.llm import bitplane_store, byte_convnet, conversation_repair, license_join, oracles, periodic_runs, projection_search, quality_forest, runlength_dedup, secret_forest, simhash_dedup, source_mixing, token_automaton, toxicity_subword
 
 #: Folder of the public vocabularies.
 TOKENIZERS = "/opt/tokenizers"
@@ -89,4 +89,22 @@ def op10_bitplane_store(spark: SparkSession, sf: str) -> DataFrame:
     return bitplane_store.store_and_check(table(spark, sf, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
 
 
+@query
+def op11_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Runs of words of every document, a tenth of which are made to repeat."""
+    return periodic_runs.digests(periodic_runs.planted(table(spark, sf, "documents")))
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation after damage."""
+    return conversation_repair.repair_damaged(table(spark, sf, "conversations"))
+
+
+@query
+def op13_byte_convnet(spark: SparkSession, sf: str) -> DataFrame:
+    """Language of every document."""
+    return byte_convnet.languages(table(spark, sf, "documents"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
