@@ -294,9 +294,12 @@ ORACLES = {
     "rfm_segment_sizes": sql(["mart_customer_rfm"], "select customer_segment_rfm, count(*) as customers from mart_customer_rfm group by 1"),
     "events_hourly": sql(["hourly"], "select * from hourly"),
     "stream_raw_load": LOADED_ORDERS,
-    "stream_load_dedup": sql(["stg_orders"], "select * from stg_orders"),
+    "stream_load_dedup": sql(["stg_orders"], "select *, timestamp '2001-12-31 07:00:00' as _stg_updated_at from stg_orders"),
     "stream_events_hourly": sql(["hourly"], "select * from hourly"),
 }
 for _again, _as in {"load_json_array_products": "load_json_products", "load_json_array_events": "load_json_events",
-                    "stream_raw_load_documents": "load_json_events", "published_mart_sales": "mart_sales"}.items():
+                    "stream_raw_load_documents": "load_json_events", "published_mart_sales": "mart_sales",
+                    "grown_mart_sales": "mart_sales", "grown_mart_customer_rfm": "mart_customer_rfm", "grown_mart_product": "mart_product",
+                    "grown_mart_anomalies": "mart_anomalies", "compacted_events_hourly": "events_hourly", "published_stg_orders": "stg_orders",
+                    "published_mart_customer_rfm": "mart_customer_rfm", "published_mart_product": "mart_product", "published_mart_anomalies": "mart_anomalies"}.items():
     ORACLES[_again] = ORACLES[_as]

@@ -17,14 +17,16 @@ from lakemart.operators.dedup import latest_per_key
 from lakemart.operators.ranking import Order, ntile_global, rank_within
 from lakemart.operators.sets import layer_counts
 from lakemart.plans import marts, questions, refresh, staging
+from lakemart.plans.incremental import refresh_marts_from
 from lakemart.sources import readers, schemas, sinks
 from lakemart.sources.lake import Lake
 from lakemart.sources.loads import load_raw, read_raw
-from lakemart.streaming.hourly import hourly_events, read_hourly, stream_hourly_events
-from lakemart.streaming.loads import read_latest, stream_latest, stream_raw
+from lakemart.streaming.hourly import add_events, compact_hourly, hourly_events, read_hourly, stream_hourly_events
+from lakemart.streaming.loads import latest_table, stream_latest, stream_raw
 from lakemart.workspace import Stored, fresh_path
 
 AS_OF = dt.date(2001, 12, 31)
+LOADED = dt.datetime(2001, 12, 31, 7, 0)
 #: Below the size of the test tables and of their categories, so that the checks take the distributed ranking.
 SMALL_TASK, SMALL_GROUP = 1000, 300
 
@@ -435,9 +437,10 @@ def stream_raw_load(spark, sf):
 def stream_load_dedup(spark, sf):
     landed = Stored(adapter.raw(spark, sf, "orders").repartition(4), "landed")
     arriving = spark.readStream.schema(landed.df.schema).option("maxFilesPerTrigger", 2).parquet(landed.path)
-    table = fresh_path(spark, "stg-orders")
-    stream_latest(arriving, staging.clean_orders, "order_id", table, fresh_path(spark, "ckpt"), buckets=8).awaitTermination()
-    return read_latest(spark, table)
+    lake = new_lake(spark)
+    table = latest_table(lake, "stg_orders", "order_id")
+    stream_latest(arriving, staging.clean_orders, table, fresh_path(spark, "ckpt"), LOADED).awaitTermination()
+    return lake.table(lake.stg, "stg_orders")
 
 
 @query
@@ -491,6 +494,112 @@ def stream_raw_load_documents(spark, sf):
     return event_fields(lake)
 
 
+# C11 from changes, C1-C8 as published
+
+def once(build: Callable[[SparkSession, str], Lake]) -> Callable[[SparkSession, str], Lake]:
+    """The lake of one session and folder of tables, built once for all queries that look at it."""
+    built: dict[tuple[str, str], Lake] = {}
+
+    def lake(spark: SparkSession, sf: str) -> Lake:
+        of = spark.sparkContext.applicationId, sf
+        if of not in built:
+            built[of] = build(spark, sf)
+        return built[of]
+
+    return lake
+
+
+@once
+def grown_lake(spark, sf) -> Lake:
+    """A lake whose marts were made from some orders, and refreshed when the others and changed products had come."""
+    lake = new_lake(spark)
+    raw, key = adapter.raw(spark, sf, "orders"), F.xxhash64("order_id", "_loaded_at", "quantity")
+    parts = [staging.clean_orders(raw.where(F.pmod(key, F.lit(8)).isin(*values))) for values in ((0, 1, 2, 3, 4), (5, 6), (7,))]
+    table = latest_table(lake, "stg_orders", "order_id")
+    lake.publish(lake.stg, "stg_customers", customers(spark, sf))
+    first = adapter.raw(spark, sf, "products").where("_loaded_at < '2001-01-02'")
+    lake.publish(lake.stg, "stg_products", staging.stg_products(first).where(F.crc32(F.col("product_id").cast("binary")) % 9 != 0))
+    table.add(parts[0], "first")
+    refresh_marts_from(lake, table, AS_OF)
+    table.add(parts[1], "second")
+    table.compact()
+    table.add(parts[2], "third")
+    lake.publish(lake.stg, "stg_products", products(spark, sf))
+    refresh_marts_from(lake, table, AS_OF)
+    return lake
+
+
+@query
+def grown_mart_sales(spark, sf):
+    lake = grown_lake(spark, sf)
+    return lake.table(lake.marts, "mart_sales")
+
+
+@query
+def grown_mart_customer_rfm(spark, sf):
+    lake = grown_lake(spark, sf)
+    return lake.table(lake.marts, "mart_customer_rfm")
+
+
+@query
+def grown_mart_product(spark, sf):
+    lake = grown_lake(spark, sf)
+    return lake.table(lake.marts, "mart_product")
+
+
+@query
+def grown_mart_anomalies(spark, sf):
+    lake = grown_lake(spark, sf)
+    return rounded(lake.table(lake.marts, "mart_anomalies"), "mean_rev", "stddev_rev", "iqr_lower_bound", "iqr_upper_bound")
+
+
+@once
+def published_lake(spark, sf) -> Lake:
+    """Staging as made from the raw shapes, and a refresh of all marts."""
+    lake = new_lake(spark)
+    for name, table in {"stg_orders": orders, "stg_customers": customers, "stg_products": products}.items():
+        lake.publish(lake.stg, name, table(spark, sf))
+    refresh.refresh_marts(lake, AS_OF)
+    return lake
+
+
+@query
+def published_stg_orders(spark, sf):
+    lake = published_lake(spark, sf)
+    return lake.table(lake.stg, "stg_orders")
+
+
+@query
+def published_mart_customer_rfm(spark, sf):
+    lake = published_lake(spark, sf)
+    return lake.table(lake.marts, "mart_customer_rfm")
+
+
+@query
+def published_mart_product(spark, sf):
+    lake = published_lake(spark, sf)
+    return lake.table(lake.marts, "mart_product")
+
+
+@query
+def published_mart_anomalies(spark, sf):
+    lake = published_lake(spark, sf)
+    return rounded(lake.table(lake.marts, "mart_anomalies"), "mean_rev", "stddev_rev", "iqr_lower_bound", "iqr_upper_bound")
+
+
+@query
+def compacted_events_hourly(spark, sf):
+    """Counts over a compacted state and later batches, some of which bring events again."""
+    events = staging.clean_web_events(adapter.raw(spark, sf, "web_events"))
+    early = events.where("_loaded_at < '2024-02-02'")
+    path = fresh_path(spark, "hourly")
+    add_events(spark, early.where(F.hash("event_id") > 0), path, 0)
+    compact_hourly(spark, path)
+    add_events(spark, early.where(F.hash("event_id") <= 0), path, 1)
+    add_events(spark, events.where("_loaded_at >= '2024-02-02'"), path, 2)
+    return read_hourly(spark, path)
+
+
 @query
 def published_mart_sales(spark, sf):
     """The mart as readers see it, in the column order of the contract."""

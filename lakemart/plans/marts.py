@@ -92,8 +92,14 @@ def mart_customer_rfm(orders: DataFrame, customers: DataFrame, as_of: dt.date |
     stored first: orders are read once, and the stored size decides how tiles are computed.  Scores are
     1 = best while the segment rules take high scores as good; ``best_is_high`` turns the scores round.
     """
+    return rfm_of_totals(customer_orders(orders), customers, as_of, tiles, best_is_high, single_task_rows)
+
+
+def rfm_of_totals(totals: DataFrame, customers: DataFrame, as_of: dt.date | None = None, tiles: int = 5,
+                  best_is_high: bool = False, single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
+    """C6 from the totals that ``customer_orders`` makes."""
     c = F.col
-    known = joins.keep_known(customer_orders(orders), customers.select("customer_id", *CUSTOMER_COLUMNS), "customer_id")
+    known = joins.keep_known(totals, customers.select("customer_id", *CUSTOMER_COLUMNS), "customer_id")
     known = known.withColumn("recency_days", dates.days_between(c("last_order_date"), dates.today(as_of)))
     stored = Stored(known, "rfm")
     scores = rfm_orders(best_is_high)
@@ -112,14 +118,23 @@ def mart_product(products: DataFrame, orders: DataFrame, single_task_rows: int =
 
     A product without orders has no revenue, which ranks before every amount.
     """
-    c = F.col
-    totals = orders.groupBy("product_id").agg(
+    return product_of_totals(products, product_orders(orders), single_task_rows)
+
+
+def product_orders(orders: DataFrame) -> DataFrame:
+    """Orders of any status per product."""
+    return orders.groupBy("product_id").agg(
         F.count("order_id").alias("total_orders"),
         F.sum("quantity").alias("total_units_sold"),
         F.sum("line_revenue").alias("total_revenue"),
-        measures.mean_amount(c("line_revenue")).alias("avg_order_value"),
-        aggregates.count_matching(c("order_status") == RETURNED).alias("returned_orders"),
+        measures.mean_amount(F.col("line_revenue")).alias("avg_order_value"),
+        aggregates.count_matching(F.col("order_status") == RETURNED).alias("returned_orders"),
     )
+
+
+def product_of_totals(products: DataFrame, totals: DataFrame, single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
+    """C7 from the totals that ``product_orders`` makes."""
+    c = F.col
     sold = joins.with_totals(products.select(*PRODUCT_COLUMNS), totals, "product_id", ["total_orders", "returned_orders"])
     sold = sold.withColumn("return_rate_pct", measures.safe_pct(c("returned_orders"), c("total_orders")))
     ranked = rank_within(sold, "category", Order("total_revenue", descending=True), "revenue_rank_in_category",
@@ -145,7 +160,9 @@ def mart_anomalies(orders: DataFrame, z: float = 2.0, k: float = 1.5) -> DataFra
 
 def anomalies_of_sales(sales: DataFrame, z: float = 2.0, k: float = 1.5) -> DataFrame:
     """C8 from mart_sales, which has the same revenue and orders per day: orders are not read again."""
-    daily = sales.groupBy("order_date").agg(F.sum("total_revenue").alias("daily_revenue"), F.sum("total_orders").alias("daily_orders"))
+    daily = sales.groupBy("order_date").agg(
+        F.sum("total_revenue").cast("decimal(28,2)").alias("daily_revenue"), F.sum("total_orders").alias("daily_orders")
+    )
     return anomalous_days(daily, z, k)
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lakemart.operators.dedup import latest_per_key
 from lakemart.sources import schemas
+from lakemart.sources.latest import new_version
 from lakemart.workspace import delete, hadoop_path, stored_bytes, write_counted
 
 STARTED, SUCCESS, FAILED = "STARTED", "SUCCESS", "FAILED"
@@ -71,17 +71,24 @@ class Lake:
         a reader sees one or the other; ``keep`` versions stay for queries that still run.  With
         ``partition_by``, AQE first gathers the rows of each partition and splits the large ones.
         """
-        folder = self._path(layer, name)
-        version = f"{folder}/{dt.datetime.now(dt.timezone.utc):%Y%m%d%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+        version = f"{self._path(layer, name)}/{new_version()}"
         if partition_by:
             df = df.hint("rebalance", *partition_by)
         rows = write_counted(df, version, partition_by=partition_by)
         columns = ", ".join(f"`{c}`" for c in df.columns)  # a partitioned file layout has them in another order
-        self.spark.sql(f"CREATE OR REPLACE VIEW {layer}.{name} AS SELECT {columns} FROM parquet.`{version}`")
-        for old in self._versions(folder)[:-keep]:
+        self.switch(layer, name, f"SELECT {columns} FROM parquet.`{version}`")
+        for old in self._versions(self._path(layer, name))[:-keep]:
             delete(self.spark, old)
         return rows
 
+    def switch(self, layer: str, name: str, sql: str) -> None:
+        """Let ``name`` be what ``sql`` says, in one catalog call."""
+        self.spark.sql(f"CREATE OR REPLACE VIEW {layer}.{name} AS {sql}")
+
+    def log_folder(self, layer: str, name: str) -> str:
+        """Where a table that is kept as a log has its files."""
+        return self._path(layer, f"{name}_log")
+
     def log_run(self, table: str, run_id: str, status: str, started_at: dt.datetime, rows: int | None = None,
                 source: str | None = None, error: str | None = None) -> None:
         """Append one entry; a run has one when it starts and one when it ends."""

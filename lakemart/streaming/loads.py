@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
 
@@ -9,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from lakemart.functions import dates
 from lakemart.operators.dedup import latest_per_key
 from lakemart.sources import readers
 from lakemart.sources.lake import FAILED, STARTED, SUCCESS, Lake, utc_now
+from lakemart.sources.latest import LatestTable
 from lakemart.workspace import delete, exists, hadoop_path, write_counted
 
 BUCKET = "key_bucket"
@@ -45,17 +48,23 @@ def stream_raw(lake: Lake, table: str, source: str, checkpoint: str, archive_to:
     return arrived.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def stream_latest(arrived: DataFrame, clean: Callable[[DataFrame], DataFrame], key: str, table_path: str, checkpoint: str,
-                  buckets: int = 64) -> StreamingQuery:
-    """Keep ``table_path`` at the latest row per key while raw rows arrive."""
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            merge_latest(batch.sparkSession, clean(batch), key, table_path, f"{checkpoint}/merged/{batch_id}", buckets)
-        finally:
-            batch.unpersist()
+def latest_table(lake: Lake, name: str, key: str) -> LatestTable:
+    """A staged table that is kept at the latest row per key; readers see it as ``name`` in the staging layer."""
+    return LatestTable(lake.spark, lake.log_folder(lake.stg, name), key, switch=lambda sql: lake.switch(lake.stg, name, sql))
+
+
+def stream_latest(arrived: DataFrame, clean: Callable[[DataFrame], DataFrame], table: LatestTable, checkpoint: str,
+                  now: dt.datetime | None = None) -> StreamingQuery:
+    """Keep ``table`` at the latest row per key while raw rows arrive.
+
+    A micro-batch writes its own cleaned rows and switches the table to them; ``table.compact`` runs apart from the
+    stream, in any process.
+    """
+    def add(batch: DataFrame, batch_id: int) -> None:
+        stream_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        table.add(clean(batch).withColumn("_stg_updated_at", dates.now(now)), f"{stream_id}-{batch_id:012d}")
 
-    return arrived.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return arrived.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def merge_latest(spark: SparkSession, changes: DataFrame, key: str, table_path: str, merged_path: str, buckets: int = 64) -> int:

@@ -58,6 +58,38 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(jpath, True)
 
 
+def file_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of what lies in a folder; none if it does not exist."""
+    fs, path = hadoop_path(spark, folder)
+    names = (s.getPath().getName() for s in fs.listStatus(path)) if fs.exists(path) else ()
+    return sorted(name for name in names if not name.startswith("."))
+
+
+def complete_folders(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the folders in a folder whose write has ended."""
+    return [name for name in file_names(spark, folder) if exists(spark, f"{folder}/{name}/_SUCCESS")]
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, written aside and renamed, so that it is there as a whole or not at all."""
+    fs, target = hadoop_path(spark, path)
+    aside = hadoop_path(spark, f"{path.rpartition('/')[0]}/.{uuid.uuid4().hex}")[1]
+    out = fs.create(aside, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if not fs.rename(aside, target):
+        raise OSError(f"could not write {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, source = hadoop_path(spark, path)
+    stream = fs.open(source)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Delete on exit what ``Stored`` wrote inside; results that read it must be written by then."""
