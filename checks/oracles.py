@@ -278,6 +278,8 @@ ORACLES = {
     "mean_amounts": sql(["stg_orders"], f"select order_date, shipping_country, {mean('line_revenue')} as mean_revenue from stg_orders group by 1, 2"),
     "percentile_cont": sql(["daily"], "select " + ", ".join(
         f"round(quantile_cont(cast(daily_revenue as double), {q}), 4) + 0.0 as p{int(q * 100)}" for q in (0.1, 0.25, 0.5, 0.75, 0.9)) + " from daily"),
+    "percentile_order_lines": sql(["stg_orders"], "select " + ", ".join(
+        f"round(quantile_cont(cast(line_revenue as double), {q}), 4) + 0.0 as p{int(q * 100)}" for q in (0.01, 0.25, 0.5, 0.75, 0.99)) + " from stg_orders"),
     "stddev_daily": sql(["daily"], """
         select round(avg(cast(daily_revenue as double)), 4) + 0.0 as mean_rev, round(stddev_samp(cast(daily_revenue as double)), 4) + 0.0 as stddev_rev from daily"""),
     "zscore_iqr_events": sql(["hours_flagged"], f"select {STATISTICS} from hours_flagged"),

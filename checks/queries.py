@@ -15,6 +15,7 @@ from lakemart.operators import aggregates, joins
 from lakemart.operators.anomalies import spread, zscore_iqr
 from lakemart.operators.dedup import latest_per_key
 from lakemart.operators.ranking import Order, ntile_global, rank_within
+from lakemart.operators.selection import exact_percentiles
 from lakemart.operators.sets import layer_counts
 from lakemart.plans import marts, questions, refresh, staging
 from lakemart.plans.incremental import refresh_marts_from
@@ -369,6 +370,13 @@ def percentile_cont(spark, sf):
     return daily.agg(*[(F.round(aggregates.quantile(F.col("daily_revenue"), q), 4) + 0.0).alias(f"p{int(q * 100)}") for q in (0.1, 0.25, 0.5, 0.75, 0.9)])
 
 
+@query
+def percentile_order_lines(spark, sf):
+    """Over every order line: a value for each, not a row a day."""
+    fractions = {f"p{int(q * 100)}": q for q in (0.01, 0.25, 0.5, 0.75, 0.99)}
+    return rounded(exact_percentiles(orders(spark, sf), "line_revenue", fractions, SMALL_GROUP), *fractions)
+
+
 @query
 def stddev_daily(spark, sf):
     stats = spread(marts.daily_revenue(orders(spark, sf)), "daily_revenue").select("mean_rev", "stddev_rev")

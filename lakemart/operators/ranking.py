@@ -9,32 +9,37 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakemart.operators.selection import as_literal, rows_at
 from lakemart.workspace import Stored
 
 SINGLE_TASK_ROWS = 500_000
-SAMPLES_PER_RANGE = 40
-#: Beyond this the search in ``range_of`` outgrows one compiled method.
-MAX_RANGES = 128
 
 
 @dataclass(frozen=True)
 class Order:
-    """Sort order of a numeric or date column; NULL is the greatest value: last ascending, first descending."""
+    """Sort order of a column; NULL is the greatest value: last ascending, first descending."""
 
     column: str
     descending: bool = False
 
-    def ascending_keys(self, df: DataFrame) -> list[Column]:
-        """Columns whose ascending order is this order (O3)."""
+    def sorting(self) -> Column:
+        """This order for a window (O3), of any type."""
         value = F.col(self.column)
-        if isinstance(df.schema[self.column].dataType, T.DateType):
+        return value.desc_nulls_first() if self.descending else value.asc_nulls_last()
+
+    def ascending_keys(self, df: DataFrame) -> list[Column]:
+        """Columns whose ascending order is this order; descending ones of numbers, dates and times only."""
+        value, kind = F.col(self.column), df.schema[self.column].dataType
+        if isinstance(kind, T.DateType):
             value = F.unix_date(value)
-        elif isinstance(df.schema[self.column].dataType, T.TimestampType | T.TimestampNTZType):
+        elif isinstance(kind, T.TimestampType | T.TimestampNTZType):
             value = F.unix_micros(value.cast("timestamp"))
+        elif self.descending and not isinstance(kind, T.NumericType):
+            raise TypeError(f"{self.column}: a falling order of {kind.simpleString()} has no distributed form")
         is_null = value.isNull()
         null_rank = ~is_null if self.descending else is_null
         return [null_rank.cast("int").alias("null_rank"), (-value if self.descending else value).alias("value")]
@@ -45,27 +50,27 @@ class Order:
 
 
 def ntile_global(df: DataFrame, tiles: int, scores: dict[str, Order], unique: str, rows: int | None = None,
-                 single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
+                 single_task_rows: int = SINGLE_TASK_ROWS, known_unique: bool = False) -> DataFrame:
     """One NTILE column per entry of ``scores`` over all rows; ties are broken by ``unique``.
 
-    ``df`` is read several times when it is large, so give a stored table; ``rows`` is its size if known.
-    A ``unique`` column that repeats is refused, whatever the size of the table.
+    ``df`` is read several times when it is large, so give a stored table; ``rows`` is its size if known.  The borders
+    of all scores are selected together.  A ``unique`` column that repeats is refused, whatever the size of the table;
+    ``known_unique`` saves the shuffle that finds out, for the key of a group-by.
     """
     rows = df.count() if rows is None else rows
-    if not df.groupBy(unique).count().filter("count > 1").isEmpty():
+    if not known_unique and not df.groupBy(unique).count().filter("count > 1").isEmpty():
         raise ValueError(f"{unique} is not unique, so tiles of rows with equal keys are not defined")
     if rows <= single_task_rows:
-        return df.withColumns({out: F.ntile(tiles).over(Window.orderBy(order.key(df, unique))) for out, order in scores.items()})
+        return df.withColumns({out: F.ntile(tiles).over(Window.orderBy(order.sorting(), unique)) for out, order in scores.items()})
     ends = tile_ends(rows, tiles)
+    keys = {out: order.key(df, unique) for out, order in scores.items()}
+    last = rows_at(df, keys, {out: ends for out in scores}, rows, single_task_rows)
     columns = {}
-    for out, order in scores.items():
-        key = order.key(df, unique)
-        keys = df.select(key.alias("key"))
-        key_type = keys.schema["key"].dataType
-        last = keys_at(keys, ends, rows, single_task_rows)
+    for out, key in keys.items():
+        key_type = df.select(key.alias("key")).schema["key"].dataType
         tile = F.lit(1)
         for end in ends:
-            tile = tile + (key > as_literal(last[end], key_type)).cast("int")
+            tile = tile + (key > as_literal(last[out][end], key_type)).cast("int")
         columns[out] = tile
     return df.withColumns(columns)
 
@@ -77,99 +82,6 @@ def tile_ends(rows: int, tiles: int) -> list[int]:
     return sorted({end for end in ends if 0 < end < rows})
 
 
-@dataclass(frozen=True)
-class _Range:
-    """Keys from ``low`` up to but without ``high`` (open where None); ``before`` rows precede its ``rows``."""
-
-    low: Row | None
-    high: Row | None
-    before: int
-    rows: int
-
-    def holds(self, key: Column, key_type: T.StructType) -> Column:
-        inside = F.lit(True)
-        if self.low is not None:
-            inside = inside & (key >= as_literal(self.low, key_type))
-        if self.high is not None:
-            inside = inside & (key < as_literal(self.high, key_type))
-        return inside
-
-
-def keys_at(keys: DataFrame, positions: list[int], rows: int, single_task_rows: int, ranges: int = 64) -> dict[int, Row]:
-    """The keys at these 1-based positions in ascending order; column ``key`` holds unique structs.
-
-    A range that is too large for one task is cut at sampled keys and its parts are counted (the driver
-    sees one number per part); those that hold a position are cut again until they are small, and only
-    their rows are numbered.  The sample decides how even the parts are, never the result.
-    """
-    key, key_type = F.col("key"), keys.schema["key"].dataType
-    small: list[_Range] = []
-    large = [_Range(None, None, 0, rows)]
-    while large:
-        whole = large.pop()
-        inside = keys.filter(whole.holds(key, key_type))
-        cuts = sample_cuts(inside, ranges, whole.rows)
-        counted = inside.groupBy(range_of(key, cuts, key_type).alias("part")).agg(F.count(F.lit(1)).alias("n"))
-        counts = {r["part"]: r["n"] for r in counted.collect()}
-        edges, before = [whole.low, *cuts, whole.high], whole.before
-        for i in range(len(cuts) + 1):
-            part = _Range(edges[i], edges[i + 1], before, counts.get(i, 0))
-            before += part.rows
-            if not any(part.before < p <= before for p in positions):
-                continue
-            if part.rows == whole.rows:
-                raise ValueError("keys are not unique, so positions in their order are not defined")
-            (small if part.rows <= single_task_rows else large).append(part)
-    offset = F.lit(None).cast("long")
-    for part in small:
-        offset = F.when(part.holds(key, key_type), F.lit(part.before)).otherwise(offset)
-    numbered = (
-        keys.withColumn("before", offset).filter(F.col("before").isNotNull())
-        .withColumn("at", F.row_number().over(Window.partitionBy("before").orderBy("key")) + F.col("before"))
-    )
-    return {r["at"]: r["key"] for r in numbered.filter(F.col("at").isin(positions)).select("at", "key").collect()}
-
-
-def sample_cuts(keys: DataFrame, ranges: int, rows: int | None = None) -> list[Row]:
-    """At most ``ranges - 1`` ascending keys that cut the rows into about even ranges.
-
-    The sample has a fixed size, the rows with the smallest hashes, and is sorted in one small task.  With the
-    number of ``rows``, only hashes that can be among them leave their tasks.
-    """
-    wanted = SAMPLES_PER_RANGE * ranges
-    place = F.xxhash64("key")
-    share = min(1.0, 2 * wanted / max(rows or 0, 1)) if rows else 1.0
-    near = keys if share == 1.0 else keys.filter(place <= int(-(2**63) + share * 2**64) - 1)
-    sample = near.orderBy(place).limit(wanted)
-    ordered = sample.agg(F.sort_array(F.collect_list("key"))).first()[0]
-    step = max(1, -(-len(ordered) // ranges))
-    cuts: list[Row] = []
-    for cut in ordered[step::step]:
-        if not cuts or cut != cuts[-1]:
-            cuts.append(cut)
-    return cuts
-
-
-def range_of(key: Column, cuts: list[Row], key_type: T.StructType) -> Column:
-    """Number of the range that a key falls into, by binary search in generated code.
-
-    A function of the row alone, equal in every run.
-    """
-    literals = [as_literal(cut, key_type) for cut in cuts]
-
-    def search(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(key < literals[middle], search(low, middle)).otherwise(search(middle + 1, high))
-
-    return search(0, len(cuts))
-
-
-def as_literal(key: Row, key_type: T.StructType) -> Column:
-    return F.struct(*[F.lit(key[f.name]).cast(f.dataType).alias(f.name) for f in key_type.fields])
-
-
 def rank_within(df: DataFrame, group: str, order: Order, out: str, group_sizes: DataFrame | None = None,
                 single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
     """RANK of each row in its group.
@@ -180,35 +92,33 @@ def rank_within(df: DataFrame, group: str, order: Order, out: str, group_sizes:
     counted = (df if group_sizes is None else group_sizes).groupBy(group).count()
     largest = counted.agg(F.max("count")).first()[0] or 0
     if largest <= single_task_rows:
-        ordered = Window.partitionBy(group).orderBy(*order.ascending_keys(df))
-        return df.withColumn(out, F.rank().over(ordered))
+        return df.withColumn(out, F.rank().over(Window.partitionBy(group).orderBy(order.sorting())))
     return rank_by_ranges(df, group, order, out, single_task_rows)
 
 
 def rank_by_ranges(df: DataFrame, group: str, order: Order, out: str, range_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
     """RANK as 1 + the rows of the group with a smaller value, for groups of any size.
 
-    Rows are first added up per distinct value, so a value that many rows share is one row; the values
-    are then cut into ranges, each summed in its own task on top of the total of the ranges before it.
+    Rows are first added up per distinct value, so a value that many rows share is one row.  The values are dealt to
+    as many ranges of (group, value) as their number asks for, and stored with the number of their range; each range is
+    summed in its own task, on top of the totals of the ranges of its group before it, which are one row a range.
     """
     df = Stored(df, "rank-rows").df
-    counted = Stored(df.groupBy(group, order.column).agg(F.count(F.lit(1)).alias("n")), "rank-values")
-    key = F.struct(F.col(group).isNull().alias("no_group"), F.col(group).alias("grp"), *order.ascending_keys(df))
-    keyed = counted.df.withColumn("key", key)
-    ranges = min(MAX_RANGES, max(2, -(-counted.rows // range_rows) * 2))
-    cuts = sample_cuts(keyed.select("key"), ranges)
-    placed = keyed.withColumn("part", range_of(F.col("key"), cuts, keyed.schema["key"].dataType))
-
-    earlier_parts = Window.partitionBy(group).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    counted = Stored(df.groupBy(group, order.column).agg(F.count(F.lit(1)).alias("_n")), "rank-values")
+    ranges = max(2, -(-counted.rows // range_rows))
+    keyed = counted.df.withColumns({"_no_group": F.col(group).isNull(), **{f"_{k}": c for k, c in zip(("null", "value"), order.ascending_keys(df), strict=True)}})
+    dealt = keyed.repartitionByRange(ranges, "_no_group", group, "_null", "_value").withColumn("_part", F.spark_partition_id())
+    placed = Stored(dealt, "rank-ranges").df
+    earlier_parts = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        placed.groupBy(group, "part").agg(F.sum("n").alias("n"))
-        .select(F.col(group).alias("_group"), F.col("part").alias("_part"), F.coalesce(F.sum("n").over(earlier_parts), F.lit(0)).alias("offset"))
+        placed.groupBy(group, "_part").agg(F.sum("_n").alias("_n"))
+        .select(F.col(group).alias("_group"), F.col("_part").alias("_of"), F.coalesce(F.sum("_n").over(earlier_parts), F.lit(0)).alias("_offset"))
     )
-    smaller = Window.partitionBy(group, "part").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
+    smaller = Window.partitionBy(group, "_part").orderBy("_null", "_value").rowsBetween(Window.unboundedPreceding, -1)
     ranks = (
-        placed.withColumn("smaller", F.coalesce(F.sum("n").over(smaller), F.lit(0)))
-        .join(offsets, F.col(group).eqNullSafe(F.col("_group")) & (F.col("part") == F.col("_part")))
-        .select(F.col(group).alias("_g"), F.col(order.column).alias("_v"), (F.col("offset") + F.col("smaller") + 1).cast("int").alias(out))
+        placed.withColumn("_smaller", F.coalesce(F.sum("_n").over(smaller), F.lit(0)))
+        .join(offsets, F.col(group).eqNullSafe(F.col("_group")) & (F.col("_part") == F.col("_of")))
+        .select(F.col(group).alias("_g"), F.col(order.column).alias("_v"), (F.col("_offset") + F.col("_smaller") + 1).cast("int").alias(out))
     )
     same = df[group].eqNullSafe(F.col("_g")) & df[order.column].eqNullSafe(F.col("_v"))
     return df.join(ranks, same, "inner").drop("_g", "_v")

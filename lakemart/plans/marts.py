@@ -103,7 +103,7 @@ def rfm_of_totals(totals: DataFrame, customers: DataFrame, as_of: dt.date | None
     known = known.withColumn("recency_days", dates.days_between(c("last_order_date"), dates.today(as_of)))
     stored = Stored(known, "rfm")
     scores = rfm_orders(best_is_high)
-    scored = ntile_global(stored.df, tiles, scores, "customer_id", stored.rows, single_task_rows)
+    scored = ntile_global(stored.df, tiles, scores, "customer_id", stored.rows, single_task_rows, known_unique=True)
     return scored.select(
         "customer_id", *CUSTOMER_COLUMNS, "last_order_date", "first_order_date", "order_count", "total_spent",
         "avg_order_value", "recency_days", *scores,

@@ -9,7 +9,9 @@ from lakemart.operators import aggregates, joins
 from lakemart.operators.anomalies import zscore_iqr
 from lakemart.operators.dedup import latest_per_key
 from lakemart.operators.ranking import Order, ntile_global, rank_by_ranges, rank_within, tile_ends
+from lakemart.operators.selection import exact_percentiles
 from lakemart.operators.sets import layer_counts
+from lakemart.workspace import Stored
 
 
 def plan(df):
@@ -82,6 +84,49 @@ def test_ntile_of_tied_times_is_the_same_at_any_limit(spark, limit):
     assert got.exceptAll(df.selectExpr("*", "cast(ntile(7) over (order by v desc, id) as int) as t")).count() == 0
 
 
+def test_jobs_do_not_follow_the_number_of_scores(spark):
+    df = Stored(spark.range(4000).selectExpr("id", *[f"id * {7 + 2 * i} % 4001 as v{i}" for i in range(6)]), "scores").df
+
+    def jobs(count):
+        spark.sparkContext.setJobGroup(f"scores-{count}", "tiles")
+        found = ntile_global(df, 5, {f"t{i}": Order(f"v{i}") for i in range(count)}, "id", 4000, single_task_rows=100, known_unique=True)
+        return found, len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"scores-{count}"))
+
+    (_, one), (six, several) = jobs(1), jobs(6)
+    assert several <= one + 1
+    for i in range(6):
+        assert [r["count"] for r in six.groupBy(f"t{i}").count().collect()] == [800] * 5
+
+
+def test_falling_strings(spark):
+    df = spark.createDataFrame([("a",), ("b",), (None,), ("c",)], "k string")
+    got = {r["k"]: r["r"] for r in rank_within(df.withColumn("g", F.lit(1)), "g", Order("k", descending=True), "r").collect()}
+    assert got == {None: 1, "c": 2, "b": 3, "a": 4}
+    with pytest.raises(TypeError, match="falling"):
+        ntile_global(df, 2, {"t": Order("k", descending=True)}, "k", single_task_rows=1)
+
+
+@pytest.mark.parametrize("limit", [3, 50, 10_000])
+def test_exact_percentiles_of_any_size(spark, limit):
+    values = [(i * 37 % 501) / 4 if i % 11 else None for i in range(2000)] + [7.25] * 900
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    fractions = {"a": 0.0, "b": 0.1, "c": 0.5, "d": 0.999, "e": 1.0}
+    got = exact_percentiles(df, "v", fractions, limit).first().asDict()
+    known = sorted(v for v in values if v is not None)
+    for name, q in fractions.items():
+        at = q * (len(known) - 1)
+        low = int(at)
+        assert got[name] == pytest.approx(known[low] + (at - low) * (known[min(low + 1, len(known) - 1)] - known[low]))
+    assert exact_percentiles(df.where("v is null"), "v", fractions, limit).first().asDict() == dict.fromkeys(fractions)
+
+
+def test_more_than_a_hundred_ranges(spark):
+    df = spark.range(3000).selectExpr("id", "cast(id % 3 as string) as g", "id * 7919 % 1009 as v")
+    plain = df.withColumn("r", F.rank().over(Window.partitionBy("g").orderBy("v")))
+    ranged = rank_by_ranges(df, "g", Order("v"), "r", 8)
+    assert ranged.exceptAll(plain).count() == 0 and ranged.count() == 3000
+
+
 def test_tile_ends():
     assert tile_ends(12, 5) == [3, 6, 8, 10]
     assert tile_ends(3, 5) == [1, 2]
