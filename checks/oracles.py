@@ -223,6 +223,16 @@ ORACLES = {
         select count(*) filter (length(customer_id) > 3) as customer_id, count(*) filter (length(customer_name) > 200) as customer_name,
           count(*) filter (length(city) > 14) as city, count(*) filter (length(email) > 20) as email from raw_customers"""),
     # a load stamps all its rows alike, so only the tie-break picks among the rows of an order
+    "load_rejects": sql(["raw_customers", "raw_web_events"], """
+        select *, sum(rejected) over (partition by table_name)::bigint as rows_failed from (
+          select 'raw_customers' as table_name, reason, count(*) as rejected, any_value(good) as rows_loaded from (
+            select *, count(*) filter (where reason is null) over () as good from (
+              select case when length(customer_name) > 200 then 'length of customer_name' when length(city) > 14 then 'length of city'
+                when length(case when email in ('', 'NULL') then null else email end) > 20 then 'length of email'
+                when signup_date not in ('', 'NULL') and try_cast(signup_date as date) is null then 'no date in signup_date' end as reason from raw_customers))
+          where reason is not null group by 2
+          union all
+          select 'raw_web_events', 'malformed', count(*) filter (where event_type = 'error'), count(*) from raw_web_events)"""),
     "pipeline_counts": sql([*STAGED, *MARTS], counted(*STAGED, *MARTS), raw_orders=f"select * replace (timestamp '2001-01-01 00:00:00' as _loaded_at) from ({adapter.RAW_ORDERS})"),
     "null_if_tokens": sql(["raw_customers"], f"select {null_tokens(['customer_id', 'email', 'signup_date'], '', 'unknown')} from raw_customers"),
     "try_casts": sql(["raw_orders"], f"""

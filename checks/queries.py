@@ -188,6 +188,20 @@ def run_log(spark, sf):
     return lake.runs().select("table_name", "rows_loaded", "rows_failed", "load_status")
 
 
+@query
+def load_rejects(spark, sf):
+    """What a load sets aside: long values of customers, and events whose line was cut off."""
+    lake = new_lake(spark)
+    load_raw(lake, "raw_customers", landed_csv(spark, sf, "customers"), quarantine=True, lengths={"customer_name": 200, "city": 14, "email": 20}, casts={"signup_date": "date"})
+    path = landed_json(spark, sf, "web_events")
+    lines = spark.read.text(path)
+    cut = lines.where(F.col("value").contains('"event_type":"error"')).select(F.regexp_replace("value", r"\}$", "").alias("value"))
+    cut.write.mode("append").text(path)
+    load_raw(lake, "raw_web_events", path, quarantine=True)
+    set_aside = lake.rejects().groupBy("table_name", "reason").agg(aggregates.count_rows().alias("rejected"))
+    return set_aside.join(lake.runs().select("table_name", "rows_loaded", "rows_failed"), "table_name")
+
+
 @query
 def length_violations(spark, sf):
     return schemas.length_violations(adapter.flat(spark, sf, "customers"), {"customer_id": 3, "customer_name": 200, "city": 14, "email": 20})

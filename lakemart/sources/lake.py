@@ -58,12 +58,27 @@ class Lake:
         A run is one partition, so repeating it after a failure replaces its rows and no others.
         """
         path = self._path(self.raw, table)
-        columns = schemas.raw_schema(table).fieldNames()
+        columns = (schemas.REJECTS_SCHEMA if table == schemas.REJECTS else schemas.raw_schema(table)).fieldNames()
         rows = write_counted(df.select(*columns), path, "overwrite", ["_run_id"], partitionOverwriteMode="dynamic")
         self.spark.sql(f"ALTER TABLE {self.raw}.{table} ADD IF NOT EXISTS PARTITION (_run_id = '{run_id}')")
         self.spark.catalog.refreshTable(f"{self.raw}.{table}")
         return rows
 
+    def append_rejects(self, df: DataFrame, run_id: str) -> int:
+        """Set aside the records of a run that could not be taken; the first ones make the table."""
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schemas.REJECTS_SCHEMA.fields)
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {self.raw}.{schemas.REJECTS} ({columns}) USING parquet "
+            f"PARTITIONED BY (_run_id) LOCATION '{self._path(self.raw, schemas.REJECTS)}'"
+        )
+        return self.append_raw(schemas.REJECTS, df, run_id)
+
+    def rejects(self) -> DataFrame:
+        """All records that loads have set aside."""
+        if schemas.REJECTS in self.tables(self.raw):
+            return self.table(self.raw, schemas.REJECTS)
+        return self.spark.createDataFrame([], schemas.REJECTS_SCHEMA)
+
     def publish(self, layer: str, name: str, df: DataFrame, partition_by: list[str] | None = None, keep: int = 2) -> int:
         """Replace a table and return its row count.
 
@@ -90,9 +105,9 @@ class Lake:
         return self._path(layer, f"{name}_log")
 
     def log_run(self, table: str, run_id: str, status: str, started_at: dt.datetime, rows: int | None = None,
-                source: str | None = None, error: str | None = None) -> None:
+                source: str | None = None, error: str | None = None, failed: int = 0) -> None:
         """Append one entry; a run has one when it starts and one when it ends."""
-        entry = (run_id, table, source, rows, 0, status, error and error[:2000], started_at.isoformat(" "),
+        entry = (run_id, table, source, rows, failed, status, error and error[:2000], started_at.isoformat(" "),
                  None if status == STARTED else utc_now().isoformat(" "), self.user)
         columns = [F.lit(value).cast(f.dataType).alias(f.name) for value, f in zip(entry, schemas.RUN_LOG_SCHEMA.fields)]
         self.spark.range(0, 1, 1, 1).select(*columns).write.mode("append").insertInto(f"{self.raw}.{schemas.RUN_LOG}")

@@ -5,8 +5,10 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
+from lakemart.functions.casts import null_if
 from lakemart.sources import readers, schemas
 from lakemart.sources.lake import FAILED, STARTED, SUCCESS, Lake, utc_now
 from lakemart.workspace import delete, hadoop_path
@@ -31,24 +33,34 @@ def read_raw(lake: Lake, table: str, path: str | list[str], run_id: str, array_f
 
 def load_raw(lake: Lake, table: str, path: str, run_id: str | None = None, array_files: bool = False,
              indent: int | None = None, archive_to: str | None = None, spread: int | None = None, multiline: bool = False,
-             delete_read: bool = False) -> int:
+             delete_read: bool = False, quarantine: bool = False, lengths: dict[str, int] | None = None, casts: dict[str, str] | None = None) -> int:
     """Append a file drop to a raw table, log the run and return the number of rows.
 
     ``archive_to`` moves the files that were read there after success, with their path below the first folder
     without wildcards, and refuses to overwrite (I10); ``delete_read`` deletes them instead.  ``spread`` deals the rows
-    to that many output files, for a few large compressed files that Spark cannot split (I7).
+    to that many output files, for a few large compressed files that Spark cannot split (I7).  With ``quarantine``, records
+    that can't be read or have values longer than declared (``lengths``) or of another type (``casts``) don't fail the
+    load: they go to the table of rejects, and the log has their number.
     """
     run_id = run_id or str(uuid.uuid4())
     started = utc_now()
     lake.log_run(table, run_id, STARTED, started, source=path)
+    failed = 0
     try:
-        df = read_raw(lake, table, path, run_id, array_files, indent, multiline=multiline)
+        if quarantine:
+            df = inspected(lake, table, path, run_id, multiline, lengths, casts)
+            seen = Observation()
+            good = df.observe(seen, F.count_if(F.col(schemas.REASON).isNotNull()).alias("failed")).where(F.col(schemas.REASON).isNull())
+        else:
+            df = good = read_raw(lake, table, path, run_id, array_files, indent, multiline=multiline)
         files = df.inputFiles() if archive_to or delete_read else []
-        rows = lake.append_raw(table, df.repartition(spread) if spread else df, run_id)
+        rows = lake.append_raw(table, good.repartition(spread) if spread else good, run_id)
+        if quarantine and (failed := seen.get.get("failed", 0)):  # the files are read again only if something is wrong
+            lake.append_rejects(rejects(df, table), run_id)
     except Exception as error:
         lake.log_run(table, run_id, FAILED, started, source=path, error=str(error))
         raise
-    lake.log_run(table, run_id, SUCCESS, started, rows, path)
+    lake.log_run(table, run_id, SUCCESS, started, rows, path, failed=failed)
     for file in files:
         if archive_to:
             _move(lake, file, _root(path), archive_to)
@@ -57,6 +69,27 @@ def load_raw(lake: Lake, table: str, path: str, run_id: str | None = None, array
     return rows
 
 
+def inspected(lake: Lake, table: str, path: str | list[str], run_id: str, multiline: bool = False, lengths: dict[str, int] | None = None,
+              casts: dict[str, str] | None = None) -> DataFrame:
+    """Every record of a file drop with lineage and the reason why it can't be taken (NULL if it can)."""
+    loaded_at = utc_now()  # the same in both passes
+    df = readers.with_lineage(readers.read_any(lake.spark, path, table, multiline), run_id, loaded_at).drop("_metadata")
+    if table in schemas.DELIMITED:
+        values = {c: null_if(F.col(c), *readers.NULL_TOKENS) for c in schemas.DELIMITED[table]}
+        df = df.withColumns(values)
+    return df.withColumn(schemas.REASON, schemas.reason(table, lengths, casts))
+
+
+def rejects(df: DataFrame, table: str) -> DataFrame:
+    """The records of ``inspected`` that can't be taken, as text."""
+    values = F.to_csv(F.struct(*schemas.DELIMITED[table])) if table in schemas.DELIMITED else F.to_json(schemas.DOCUMENT_COLUMN)
+    bad = df.where(F.col(schemas.REASON).isNotNull())
+    return bad.select(
+        F.lit(table).alias("table_name"), F.coalesce(schemas.MALFORMED, values).alias("record"), F.col(schemas.REASON).alias("reason"),
+        *schemas.LINEAGE.fieldNames(),
+    )
+
+
 def _root(path: str) -> str:
     """The folder of a path up to its first part with a wildcard; a plain file's own folder."""
     parts = path.rstrip("/").split("/")

@@ -52,6 +52,21 @@ def read_json_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return _elements(_documents(spark.read).json(path))
 
 
+def read_any(spark: SparkSession, path: str | list[str], table: str, multiline: bool = False) -> DataFrame:
+    """Every record of a file drop, also those that can't be read: these have their text in ``MALFORMED`` and no values."""
+    if table in schemas.DELIMITED:
+        schema = T.StructType([*schemas.business_schema(table).fields, T.StructField(schemas.MALFORMED, T.StringType())])
+        options = {**CSV_OPTIONS, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.MALFORMED, "multiLine": str(multiline).lower()}
+        rows = spark.read.schema(schema).options(**options).csv(path)
+        whole = F.col(schemas.MALFORMED).isNull()
+        return rows.select(*[F.when(whole, F.col(c)).alias(c) for c in schemas.DELIMITED[table]], schemas.MALFORMED, "_metadata")
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    read = F.try_parse_json("value")
+    rows = lines.select(read.alias(schemas.DOCUMENT_COLUMN), F.when(read.isNull(), F.col("value")).alias(schemas.MALFORMED), "_metadata")
+    elements = F.coalesce(F.try_variant_get(F.col(schemas.DOCUMENT_COLUMN), "$", "array<variant>"), F.array(schemas.DOCUMENT_COLUMN))
+    return rows.select(F.explode(elements).alias(schemas.DOCUMENT_COLUMN), schemas.MALFORMED, "_metadata")
+
+
 def array_indent(spark: SparkSession, path: str | list[str]) -> int | None:
     """The indent of the elements of an array that is written over several lines; None for lines of documents."""
     head = [r[0] for r in spark.read.text(path).limit(2).collect()]

@@ -22,7 +22,7 @@ DOCUMENTS = ("raw_products", "raw_web_events")
 DOCUMENT_COLUMN = "raw_data"
 
 RAW_TABLES = (*DELIMITED, *DOCUMENTS)
-RUN_LOG = "pipeline_run_log"
+RUN_LOG, REJECTS = "pipeline_run_log", "raw_rejects"
 
 LINEAGE = T.StructType([
     T.StructField("_loaded_at", T.TimestampNTZType()),
@@ -43,6 +43,15 @@ RUN_LOG_SCHEMA = T.StructType([
     T.StructField("loaded_by", T.StringType()),
 ])
 
+REJECTS_SCHEMA = T.StructType([
+    T.StructField("table_name", T.StringType(), False),
+    T.StructField("record", T.StringType()),
+    T.StructField("reason", T.StringType(), False),
+    *LINEAGE.fields,
+])
+#: Columns of a row under inspection: the text that could not be read, and what is wrong with the row.
+MALFORMED, REASON = "_malformed", "_reason"
+
 
 def business_schema(table: str) -> T.StructType:
     """Columns of a raw table as they arrive: strings, or one variant."""
@@ -62,3 +71,17 @@ def length_violations(df: DataFrame, lengths: dict[str, int]) -> DataFrame:
         return F.count_if(F.length(column) > limit).alias(column)
 
     return df.agg(*[too_long(c, n) for c, n in lengths.items()])
+
+
+def reason(table: str, lengths: dict[str, int] | None = None, casts: dict[str, str] | None = None) -> Column:
+    """What is wrong with a row: it could not be read, or the first column that is too long or is no such type; else NULL.
+
+    ``lengths`` replaces the declared ones; ``casts`` names columns that must be of a type where they are not NULL.
+    """
+    lengths = DELIMITED.get(table, {}) if lengths is None else lengths
+    wrong = F.when(F.col(MALFORMED).isNotNull(), F.lit("malformed"))
+    for column, limit in lengths.items():
+        wrong = wrong.when(F.length(column) > limit, F.lit(f"length of {column}"))
+    for column, kind in (casts or {}).items():
+        wrong = wrong.when(F.col(column).isNotNull() & F.col(column).try_cast(kind).isNull(), F.lit(f"no {kind} in {column}"))
+    return wrong

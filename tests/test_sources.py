@@ -173,3 +173,28 @@ def test_archived_files_keep_their_folders(spark, lake, tmp_path):
     assert sorted(p.parent.name for p in (tmp_path / "done").rglob("c.csv")) == ["a", "b"]
     assert load_raw(lake, "raw_customers", f"{tmp_path}/done/*/c.csv", delete_read=True) == 2
     assert not list((tmp_path / "done").rglob("c.csv"))
+
+
+def test_bad_records_are_set_aside(spark, lake, tmp_path):
+    drop = tmp_path / "drop"
+    drop.mkdir()
+    header = ",".join(schemas.CUSTOMER_COLUMNS) + "\n"
+    (drop / "a.csv").write_text(header + '1,x,,p,c,n,s,2024-01-01\n2,short\n3,"a, b",e,p,c,n,s,soon\n4,x,e,p,' + "c" * 101 + ",n,s,NULL\n")
+    path = str(drop)
+    assert load_raw(lake, "raw_customers", path, quarantine=True, casts={"signup_date": "date"}) == 1
+    rows = {r["record"]: r["reason"] for r in lake.rejects().collect()}
+    assert rows == {"2,short": "malformed", '3,"a, b",e,p,c,n,s,soon': "no date in signup_date", f"4,x,e,p,{'c' * 101},n,s,": "length of city"}
+    run = lake.runs().first()
+    assert (run["rows_loaded"], run["rows_failed"], run["load_status"]) == (1, 3, "SUCCESS")
+    assert lake.table(lake.raw, "raw_customers").first()["email"] is None
+    with pytest.raises(Exception, match="(?i)malformed"):
+        load_raw(lake, "raw_customers", path)
+
+
+def test_bad_documents_are_set_aside(spark, lake, tmp_path):
+    assert lake.rejects().count() == 0
+    (tmp_path / "e.json").write_text('{"event_id": "1"}\n{"event_id": \n\n[{"event_id": "2"}, {"event_id": "3"}]\n')
+    assert load_raw(lake, "raw_web_events", str(tmp_path / "e.json"), quarantine=True) == 3
+    assert [(r["record"], r["reason"], r["_source_file"].rsplit("/")[-1]) for r in lake.rejects().collect()] == [('{"event_id": ', "malformed", "e.json")]
+    load_raw(lake, "raw_web_events", str(tmp_path / "e.json"), run_id="again", quarantine=True)
+    assert lake.rejects().count() == 2 and lake.table(lake.raw, "raw_web_events").count() == 6
