@@ -23,6 +23,8 @@ from lakemart.llm.texts import fresh_name, map_texts, stored
 
 BITS = 64
 SEED = 42
+#: Greatest threshold: beyond it segments are so short that a bucket would be a large part of the table.
+MOST = 12
 #: Shingles whose bits are counted at a time.
 BLOCK = 1 << 16
 
@@ -62,7 +64,7 @@ def _mask(a: int, width: int) -> np.uint64:
 
 
 def _keys(threshold: int):
-    """From batches of ``fp`` to ``(key, fp)``: for each start in the ring, the first segment as it is and the second
+    """From batches of ``fp`` to ``(ring, key, fp)``: for each start in the ring, the first segment as it is and the second
     as it is or with one of its zero bits set.  Of two fingerprints that differ there in one bit, one has the zero."""
     segments = _segments(threshold)
     m = len(segments)
@@ -72,19 +74,19 @@ def _keys(threshold: int):
             for start in range(0, batch.num_rows, 4096):
                 part = batch.slice(start, 4096)
                 fps = part.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-                keys, owners = [], []
+                rings, keys, owners = [], [], []
                 for i in range(m):
                     (a, wa), (b, wb) = segments[i], segments[(i + 1) % m]
-                    base = np.uint64(i) << np.uint64(60) | ((fps & _mask(a, wa)) >> np.uint64(a)) << np.uint64(wb) | (fps & _mask(b, wb)) >> np.uint64(b)
+                    base = ((fps & _mask(a, wa)) >> np.uint64(a)) << np.uint64(wb) | (fps & _mask(b, wb)) >> np.uint64(b)
                     keys.append(base)
                     owners.append(fps)
                     for bit in range(wb):
                         zero = (base >> np.uint64(bit)) & np.uint64(1) == 0
                         keys.append(base[zero] | np.uint64(1 << bit))
                         owners.append(fps[zero])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(x).view(np.int64)) for x in (keys, owners)], names=["key", "fp"]
-                )
+                    rings.append(np.full(sum(map(len, keys)) - sum(map(len, rings)), i, np.int8))
+                columns = [pa.array(np.concatenate(x).view(np.int64)) for x in (keys, owners)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(rings)), *columns], names=["ring", "key", "fp"])
 
     return run
 
@@ -106,7 +108,7 @@ def bucket_links(fps: np.ndarray, start: int, threshold: int) -> list[tuple[int,
         while queue and len(rest):
             at = queue.pop()
             differ, found = rest ^ at, np.arange(len(rest))
-            for chain, budget in masks[2:]:  # the last one is the full Hamming check
+            for chain, budget in masks[1:]:  # the last one is the full Hamming check
                 found = found[np.bitwise_count(differ[found] & chain) <= budget]
             if len(found):
                 queue += list(rest[found])
@@ -116,33 +118,34 @@ def bucket_links(fps: np.ndarray, start: int, threshold: int) -> list[tuple[int,
 
 
 def _linked(threshold: int):
-    """From ``(key, fp)`` sorted by key to links ``(u, v)``.  A bucket may span batches."""
+    """From ``(ring, key, fp)`` sorted by ring and key to links ``(u, v)``.  A bucket may span batches."""
 
-    def found(keys: np.ndarray, fps: np.ndarray) -> pa.RecordBatch | None:
-        cuts = np.flatnonzero(np.diff(keys)) + 1
+    def found(rings: np.ndarray, keys: np.ndarray, fps: np.ndarray) -> pa.RecordBatch | None:
+        cuts = np.flatnonzero(np.diff(keys) | np.diff(rings)) + 1
         starts, stops = np.append(0, cuts), np.append(cuts, len(keys))
         links = []
         for a, b in zip(starts[stops - starts > 1], stops[stops - starts > 1], strict=True):
-            links += bucket_links(fps[a:b], int(keys[a]) >> 60, threshold)
+            links += bucket_links(fps[a:b], int(rings[a]), threshold)
         if links:
             u, v = zip(*links, strict=True)
             return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
         return None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for batch in batches:
             if not batch.num_rows:
                 continue
-            keys, fps = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-            fps = fps.view(np.uint64)
-            cut = int(np.searchsorted(keys, keys[-1]))  # the last bucket may go on
-            if cut or (held and held[0][0][0] != keys[0]):
-                held.append((keys[:cut], fps[:cut]))
+            rings, keys, fps = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            rings, fps = rings.astype(np.int64), fps.view(np.uint64)
+            other = np.flatnonzero((keys != keys[-1]) | (rings != rings[-1]))
+            cut = int(other[-1]) + 1 if len(other) else 0  # the last bucket may go on
+            if cut or (held and (held[0][1][0] != keys[0] or held[0][0][0] != rings[0])):
+                held.append((rings[:cut], keys[:cut], fps[:cut]))
                 if (made := found(*map(np.concatenate, zip(*held, strict=True)))) is not None:
                     yield made
                 held = []
-            held.append((keys[cut:], fps[cut:]))
+            held.append((rings[cut:], keys[cut:], fps[cut:]))
         if held and (made := found(*map(np.concatenate, zip(*held, strict=True)))) is not None:
             yield made
 
@@ -151,8 +154,8 @@ def _linked(threshold: int):
 
 def near_links(fps: DataFrame, threshold: int = 4) -> DataFrame:
     """Links ``(u, v)`` among the distinct fingerprints ``fps(fp)``: enough to connect all that differ in at most ``threshold`` bits."""
-    keyed = fps.mapInArrow(_keys(threshold), "key bigint, fp bigint")
-    return keyed.repartition("key").sortWithinPartitions("key").mapInArrow(_linked(threshold), "u bigint, v bigint")
+    keyed = fps.mapInArrow(_keys(threshold), "ring tinyint, key bigint, fp bigint")
+    return keyed.repartition("ring", "key").sortWithinPartitions("ring", "key").mapInArrow(_linked(threshold), "u bigint, v bigint")
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id", shingle: int = 4, threshold: int = 4) -> DataFrame:
@@ -163,8 +166,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     repeated; a NULL doc_id gets its component, but never names one (NULL if the component has no other).  An empty
     table gives an empty table; further columns are not read.
     """
-    if threshold < 1:
-        raise ValueError("threshold must be at least 1")
+    if not 1 <= threshold <= MOST:
+        raise ValueError(f"threshold must be from 1 to {MOST}")
     ids = docs.select(F.col(f"`{id_col}`").alias(id_col), F.col(f"`{text}`").alias("text"))
     marked = stored(fingerprints(ids, "text", [id_col], shingle), "fingerprints")
     nodes = stored(marked.groupBy("fp").agg(F.min(id_col).alias("least_id")), "nodes")
@@ -184,12 +187,11 @@ def first_of_each(docs: DataFrame, text: str = "text", id_col: str = "doc_id", s
     If rows repeat that doc_id, the one with the least fingerprint stays.  A group without any doc_id keeps one row.
     """
     groups = near_duplicates(docs, text, id_col, shingle, threshold)
-    chosen = groups.where(F.col(id_col).eqNullSafe(F.col("component_id"))).groupBy("root").agg(
-        F.min("fp").alias("_fp"), F.min(id_col).alias("_id")
-    )
-    name = fresh_name(docs, "_fingerprint")
+    least, of = fresh_name(docs, "_least"), fresh_name(docs, "_of")
+    chosen = groups.where(F.col(id_col).eqNullSafe(F.col("component_id"))).groupBy("root").agg(F.min("fp").alias(least), F.min(id_col).alias(of))
+    name, place = fresh_name(docs, "_fingerprint"), fresh_name(docs, "_place")
     marked = fingerprints(docs, text, None, shingle, name)
-    kept = marked.join(chosen, (F.col(name) == F.col("_fp")) & F.col(id_col).eqNullSafe(F.col("_id")), "left_semi")
-    again = Window.partitionBy(name, id_col).orderBy(F.lit(0))
-    place = fresh_name(docs, "_place")
+    kept = marked.join(chosen.drop("root"), (F.col(name) == F.col(least)) & F.col(f"`{id_col}`").eqNullSafe(F.col(of)), "left_semi")
+    # Of rows equal in both, the same one each time.
+    again = Window.partitionBy(name, f"`{id_col}`").orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
     return kept.withColumn(place, F.row_number().over(again)).where(F.col(place) == 1).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -273,3 +273,45 @@ def test_empty_tables(empty, labels):
     assert bitplane_store.store_and_check(empty, BYTE_FILE).count() == 0
     assert runlength_dedup.remove_repeats(empty).count() == 0
     assert license_join.license_scan(empty).count() == 0
+
+
+@pytest.mark.parametrize("threshold", range(1, 13))
+def test_links_at_every_threshold(spark, threshold):
+    draw = np.random.default_rng(threshold)
+    fps = []
+    for base in draw.integers(0, 2**63, 25):
+        fps.append(int(base))
+        for _ in range(8):
+            turned = draw.choice(64, draw.integers(0, threshold + 3), replace=False)
+            fps.append(int(base) ^ sum(1 << int(b) for b in turned))
+    fps = sorted({x - 2**64 if x >= 2**63 else x for x in fps})
+    near = {(a, b) for a in fps for b in fps if a < b and bin((a ^ b) & (2**64 - 1)).count("1") <= threshold}
+
+    def groups(links):
+        root = {x: x for x in fps}
+
+        def find(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        for a, b in links:
+            root[max(find(a), find(b))] = min(find(a), find(b))
+        return {x: find(x) for x in fps}
+
+    found = [(min(r), max(r)) for r in simhash_dedup.near_links(spark.createDataFrame([(x,) for x in fps], "fp bigint").repartition(3), threshold).collect()]
+    assert set(found) <= near and groups(found) == groups(near)
+
+
+def test_thresholds_beyond_are_refused(documents):
+    for threshold in (0, 13):
+        with pytest.raises(ValueError, match="threshold"):
+            simhash_dedup.near_duplicates(documents, threshold=threshold)
+
+
+def test_first_of_each_with_clashing_columns(spark):
+    rows = [(1, "a b c d e", 7, 8, 9), (1, "a b c d e", 6, 8, 9), (2, "a b c d e", 7, 8, 9), (3, "other words in this one here", 1, 2, 3)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, _id int, _fp int, _place int")
+    found = [tuple(r) for r in simhash_dedup.first_of_each(docs).orderBy("doc_id").collect()]
+    assert [r[0] for r in found] == [1, 3] and found[0] in rows[:2]
+    assert found == [tuple(r) for r in simhash_dedup.first_of_each(docs.repartition(3)).orderBy("doc_id").collect()]
