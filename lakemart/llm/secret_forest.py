@@ -50,6 +50,7 @@ BEHIND = rf"""(?<=[=:>\s"'])(?<=[=:]>?\s{{0,3}}["']?)(?<=(?i:{GUARDING}){ASSIGNE
 VALUE = rf"""(?:(?<=")[^"\n]{{5,127}}[^"\n](?=")|(?<=')[^'\n]{{5,127}}[^'\n](?=')|[^\s"']{{5,}}[^\s"'.,;)\]])"""
 CANDIDATE = f"{BEHIND}{VALUE}|{RUN}"
 
+#: Groups that repeat are possessive: Java's matcher takes them in a loop, where it would recurse into any other.
 #: Features of ``c.candidate``, ``c.before``, ``c.after``, ``c.path`` in SQL.
 FEATURES = {
     "length": "length(c.candidate)",
@@ -70,8 +71,8 @@ FEATURES = {
     "strong": r"""cast(lower(c.before) rlike '(pass|passwd|password|pwd|secret)["\']?\\s*[:=]>?\\s*["\']?$' as int)""",
     "others": r"regexp_count(c.candidate, '[^A-Za-z0-9+/_-]') / length(c.candidate)",
     "spaces": r"regexp_count(c.candidate, '\\s') / length(c.candidate)",
-    "coded": r"""cast(c.candidate rlike '[(){}<>$]|\\[|^[A-Za-z_]+[.][A-Za-z_.]+$|^[*.xX#?-]+$|^[A-Z]+(_[A-Z]+)*$|^[a-z]+(_[a-z]+)+$' as int)""",
-    "plain": rf"cast(lower(c.candidate) rlike '^[^a-z]*({PLAIN}|{DICTIONARY})[^a-z]*([^a-z]({PLAIN}|{DICTIONARY})[^a-z]*)*$' as int)",
+    "coded": r"""cast(c.candidate rlike '[(){}<>$]|\\[|^[A-Za-z_]+[.][A-Za-z_.]+$|^[*.xX#?-]+$|^[A-Z]++(?:_[A-Z]++)*+$|^[a-z]++(?:_[a-z]++)++$' as int)""",
+    "plain": rf"cast(lower(c.candidate) rlike '^[^a-z]*+(?:{PLAIN}|{DICTIONARY})(?![a-z])(?:[^a-z]++(?:{PLAIN}|{DICTIONARY})(?![a-z]))*+[^a-z]*+$' as int)",
     "quoted": r"""cast(c.after rlike '^["\']' as int)""",
     "test_path": "cast(lower(c.path) rlike 'test|example|sample|mock|fixture|docs?/' as int)",
 }
