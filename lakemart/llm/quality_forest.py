@@ -1,8 +1,9 @@
 """Quality rules: an isolation forest over rule statistics, its threshold calibrated from labelled rows.
 
 Every tree splits a small subsample at random features and random values; documents that few splits set apart
-have short paths and are anomalous.  The forest never sees a label.  The labels set the threshold: the lowest
-score that rejects at most ``clean_loss`` of the labelled good documents.
+have short paths and are anomalous.  The trees hold documents that are labelled good, and are cut in the box of all labelled
+ones; otherwise labels set the threshold only: the lowest score that rejects at most ``clean_loss`` of the labelled good
+documents.
 """
 
 from __future__ import annotations

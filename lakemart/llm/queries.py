@@ -4,15 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lakemart.llm import bitplane_store, byte_convnet, conversation_repair, license_join, oracles, periodic_runs, projection_search, quality_forest, runlength_dedup, secret_forest, simhash_dedup, source_mixing, token_automaton, toxicity_subword
 
-#: Folder of the public vocabularies.
-TOKENIZERS = "/opt/tokenizers"
-
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = dict(oracles.ORACLES)
@@ -35,8 +33,8 @@ def op1_projection_search(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def op2_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
-    """Place of every document in a mix in which no source has more than a quarter."""
-    return source_mixing.mix(table(spark, sf, "documents")).select("doc_id", "source", "block", "slot", "release", "deadline", "in_mix")
+    """Place of every document in a mix in which no source has more than a quarter until the others have run out."""
+    return source_mixing.mix(table(spark, sf, "documents"), cap=0.25).select("doc_id", "source", "block", "slot", "release", "deadline", "in_mix")
 
 
 @query
@@ -48,7 +46,7 @@ def op3_secret_forest(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op4_token_automaton(spark: SparkSession, sf: str) -> DataFrame:
     """Digests of the ids of every document and of what they decode to."""
-    return token_automaton.digests(table(spark, sf, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
+    return token_automaton.digests(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
 @query
@@ -74,7 +72,8 @@ def op7_toxicity_subword(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op8_runlength_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Repeated bytes of every document and a digest of the others."""
-    return runlength_dedup.remove_repeats(table(spark, sf, "documents"), length=400).drop("kept")
+    found = runlength_dedup.remove_repeats(table(spark, sf, "documents"), length=400).drop("kept")
+    return found.withColumns({"n_kept": F.col("n_bytes") - F.col("n_removed"), "changed": F.col("n_removed") > 0})
 
 
 @query
@@ -86,7 +85,7 @@ def op9_license_join(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op10_bitplane_store(spark: SparkSession, sf: str) -> DataFrame:
     """Ids of every document as read back from its files."""
-    return bitplane_store.store_and_check(table(spark, sf, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
+    return bitplane_store.store_and_check(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 @query

@@ -4,10 +4,10 @@ The rows of each source are cut into blocks.  Block j of a source of weight w is
 at slot ceil((j + 1) / w); in every slot the released block with the earliest deadline runs.  With weights that add
 up to 1 this meets all deadlines, so after any number of slots every source is less than one block from its share.
 
-Every source reserves its weight of ``period`` slots, rounded up to whole ones: the schedule of one period, a table of
-fixed size, gives the slot of any reserved block by arithmetic.  A source passes over reserved slots evenly, so that it
-keeps its exact weight, however rare it is; slots that are passed over, or whose source has run out, stay empty and the
-mix goes on with the next one.
+Weights are whole numbers of slots of a period, so the schedule of one period, a table of bounded size, gives the slot
+of any block by arithmetic.  The period has as many slots as the mix has blocks, up to ``MOST_SLOTS``; up to there the
+shares of the table are met exactly, beyond it weights are rounded to multiples of 1 / ``MOST_SLOTS``, and a source has
+one slot at least.  A source that has run out leaves its slots empty and the others go on.
 """
 
 from __future__ import annotations
@@ -22,25 +22,25 @@ from pyspark.sql import functions as F
 from lakemart.llm.texts import fresh_name
 
 
-#: Parts of a slot in which exact shares are told.
-PARTS = 1 << 20
-
-
-def exact_shares(weights: dict, period: int) -> dict:
-    """Slots of a period that each source fills on average."""
-    period = max(period, 100 * len(weights))
-    total = sum(map(Fraction, weights.values()))
-    return {s: Fraction(w) * period / total for s, w in weights.items()}
+#: Slots of a period, and sources with slots of their own: the smaller ones share theirs.
+MOST_SLOTS, MOST_SOURCES = 100_000, 2_000
+#: Least slots of a period whose weights are given or capped.
+FEWEST_SLOTS = 1000
 
 
 def whole_shares(weights: dict, period: int) -> dict:
-    """Slots of a period that each source reserves: its exact share, rounded up.  The period grows with the sources, so
-    that the rounding adds less than a hundredth."""
-    return {s: math.ceil(x) for s, x in exact_shares(weights, period).items()}
+    """Slots of a period for each source: its share, rounded by largest remainder, one at least."""
+    total = sum(map(Fraction, weights.values()))
+    exact = {s: Fraction(w) * period / total for s, w in weights.items()}
+    shares = {s: max(1, math.floor(x)) for s, x in exact.items()}
+    missing = period - sum(shares.values())
+    for s in sorted(exact, key=lambda s: (shares[s] - exact[s], str(s)))[: max(missing, 0)]:
+        shares[s] += 1
+    return shares
 
 
 def schedule(shares: dict) -> list[tuple]:
-    """``(source, block, slot, release, deadline)`` of one period, earliest deadline first."""
+    """``(source, block, slot, release, deadline)`` of one period, earliest deadline first; ``shares`` are slots of the period."""
     period = sum(shares.values())
     waiting = sorted((j * period // a, -((j + 1) * period // -a), str(s), j, s) for s, a in shares.items() for j in range(a))
     ready, rows, at = [], [], 0
@@ -67,62 +67,66 @@ def capped_weights(counts: dict, cap: float) -> dict:
         fixed |= over
 
 
-def taken_rows(counts: dict, targets: dict) -> dict:
-    """Rows of each source in the largest mix of the capped ``targets``: all, but of capped sources only their share."""
-    whole = min((Fraction(counts[s]) / w for s, w in targets.items()), default=0)  # sources below the cap all give this
-    return {s: math.floor(whole * w) for s, w in targets.items()}
-
-
-def mix(docs: DataFrame, weights: dict | None = None, source: str = "source", cap: float = 0.25, block_rows: int = 16, period: int = 1000, seed: int = 2) -> DataFrame:
+def mix(docs: DataFrame, weights: dict | None = None, source: str = "source", cap: float = 1.0, block_rows: int = 16, seed: int = 2,
+        most_slots: int = MOST_SLOTS, most_sources: int = MOST_SOURCES) -> DataFrame:
     """Every row of ``docs`` with its place in the mix: block, slot, release, deadline, in_mix.
 
-    Rows of a source follow the hash of their values; its last block may be a part.  A source that has run out leaves
-    its slots empty and the others go on; until then each is less than two blocks from its share.  No row repeats.
-    Without ``weights`` the shares are those of the table, capped at ``cap``, and in_mix is true but for the rows of
-    capped sources above the cap; with ``weights`` it is true for all rows of their sources.  A
+    Rows of a source follow the hash of their values; its last block may be a part.  Until it has run out, a source is less
+    than one block from its share of the slots, at any slot.  No row is dropped and none repeats.  Without ``weights``
+    the shares are those of the table, none above ``cap``: a capped source goes on after the others.  A
     source without a weight is not mixed (NULL places, in_mix false); one with a weight but without rows is left out.
-    NULL is a source like any other.  Repeated rows are places of their own; an empty table gives an empty one.
-    Columns named like the new ones are replaced.
+    Without weights, the sources beyond the ``most_sources`` largest are mixed as one.  NULL is a source like any other.
+    Repeated rows are places of their own; an empty table gives an empty one.  Columns named like the new ones are replaced.
     """
     spark = docs.sparkSession
     new = ["block", "slot", "release", "deadline", "in_mix"]
     columns = [c for c in docs.columns if c.lower() not in new]
-    counts = {r[0]: r[1] for r in docs.groupBy(F.col(f"`{source}`")).count().collect()}  # a row for each source
-    targets = capped_weights(counts, cap) if weights is None else {s: w for s, w in weights.items() if w > 0 and counts.get(s)}
-    quota = taken_rows(counts, targets) if weights is None else {s: counts[s] for s in targets}
-    shares = whole_shares(targets, period) if targets else {}
-    parts = {s: math.ceil(x * PARTS) for s, x in exact_shares(targets, period).items()} if targets else {}
+    sizes = docs.groupBy(F.col(f"`{source}`").cast("string").alias("s")).agg(F.count(F.lit(1)).alias("n"))
+    if weights is None:
+        found = sizes.orderBy(F.desc("n"), "s").limit(most_sources).collect()
+        counts = {r["s"]: r["n"] for r in found}
+        rest = (sizes.agg(F.sum("n")).first()[0] or 0) - sum(counts.values()) if len(found) == most_sources else 0
+    else:
+        wanted = {None if s is None else str(s): w for s, w in weights.items() if w > 0}
+        named = [s for s in wanted if s is not None]
+        mine = F.col("s").isin(named) | F.col("s").isNull() if None in wanted else F.col("s").isin(named)
+        counts, rest = {r["s"]: r["n"] for r in sizes.where(mine).collect()}, 0
+    blocks = {(s,): -(-n // block_rows) for s, n in counts.items()}
+    if rest:
+        blocks[()] = -(-rest // block_rows)  # the key of all smaller sources
+    total = sum(blocks.values())
+    if weights is None:
+        targets = capped_weights(blocks, cap)
+        period = total if all(targets[s] * total == blocks[s] for s in blocks) else max(total, FEWEST_SLOTS)
+    else:
+        targets, period = {(s,): wanted[s] for s in counts}, max(total, FEWEST_SLOTS)
+    shares = whole_shares(targets, min(period, most_slots)) if targets else {}
     length = sum(shares.values())
-    table = spark.createDataFrame([(s, j, slot, r, d) for s, j, slot, r, d in schedule(shares)], "_s string, _j int, _slot int, _release int, _deadline int")
+    order_of = {s: i for i, s in enumerate(shares)}
+    slots = [(order_of[s], j, slot, r, d) for s, j, slot, r, d in schedule(shares)]
+    names = {c: fresh_name(docs, f"_{c}") for c in ("order", "bucket", "row", "before", "block", "of", "share", "j", "slot", "release", "deadline", "known", "b", "o", "key")}
+    n = lambda c: F.col(names[c])
+    table = spark.createDataFrame(slots, ", ".join(f"{names[c]} int" for c in ("o", "j", "slot", "release", "deadline")))
+    known = spark.createDataFrame([(s[0] if s else None, order_of[s], shares[s]) for s in shares if s], f"{names['known']} string, {names['of']} int, {names['share']} int")
+    own = F.col(f"`{source}`").cast("string")
     # Rows are numbered within (source, bucket); the buckets' sizes, far fewer than rows, give the offsets.
-    buckets = max(1, -(-sum(counts.values()) // 4096))
-    names = {c: fresh_name(docs, c) for c in ("_order", "_bucket", "_row", "_before", "_block")}
-    order, bucket, row, before, block = names.values()
-    hashed = docs.select(*[F.col(f"`{c}`") for c in columns], F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in columns]).alias(order))
-    keyed = hashed.withColumn(bucket, F.floor((F.shiftrightunsigned(order, 33) * buckets) / F.lit(1 << 31)))
-    sizes = keyed.groupBy(source, bucket).count()
-    offsets = sizes.select(
-        F.col(source).alias("_s"), F.col(bucket).alias("_b"),
-        F.coalesce(F.sum("count").over(Window.partitionBy(source).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(before),
-    )
-    numbered = keyed.withColumn(row, F.row_number().over(Window.partitionBy(source, bucket).orderBy(order)) - 1)
-    numbered = numbered.join(offsets, F.col(source).eqNullSafe(F.col("_s")) & (F.col(bucket) == F.col("_b"))).drop("_s", "_b")
-    numbered = numbered.withColumn(row, F.col(row) + F.col(before)).withColumn(block, F.floor(F.col(row) / block_rows))
-    # What is known of the sources is a map, the schedule of one period a table of fixed size.
-    known = lambda s: F.struct(F.lit(shares[s]).cast("bigint").alias("share"), F.lit(parts[s]).cast("bigint").alias("parts"), F.lit(quota[s]).cast("bigint").alias("quota"))
-    nothing = F.lit(None).cast("struct<share: bigint, parts: bigint, quota: bigint>")
-    named = [x for s in shares if s is not None for x in (F.lit(s).cast("string"), known(s))]
-    own = F.when(F.col(source).isNull(), known(None) if None in shares else nothing).otherwise(F.create_map(*named)[F.col(source).cast("string")] if named else nothing)
-    # Block j takes reserved slot floor(j * share / exact share) of its source.
-    passed = F.expr(f"(`{block}` * (_own.share * {PARTS} - _own.parts)) div _own.parts")
-    placed = numbered.withColumn("_own", own).withColumn("_at", F.col(block) + passed)
-    placed = placed.join(
-        F.broadcast(table), F.col(source).cast("string").eqNullSafe(F.col("_s")) & ((F.col("_at") % F.col("_own.share")).cast("int") == F.col("_j")), "left"
-    )
-    base = F.floor(F.col("_at") / F.col("_own.share")) * length
+    buckets = max(1, -(-(sum(counts.values()) + rest) // 4096))
+    hashed = docs.select(*[F.col(f"`{c}`") for c in columns], F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in columns]).alias(names["order"]))
+    keyed = hashed.join(F.broadcast(known), own.eqNullSafe(n("known")), "left")
+    if rest:
+        keyed = keyed.withColumns({names["share"]: F.coalesce(n("share"), F.lit(shares[()])), names["of"]: F.coalesce(n("of"), F.lit(order_of[()]))})
+    keyed = keyed.withColumn(names["bucket"], F.floor((F.shiftrightunsigned(names["order"], 33) * buckets) / F.lit(1 << 31)))
+    earlier = Window.partitionBy(names["of"]).orderBy(names["bucket"]).rowsBetween(Window.unboundedPreceding, -1)
+    sums = keyed.groupBy(names["of"], names["bucket"]).agg(F.count(F.lit(1)).alias(names["row"]))
+    offsets = sums.select(n("of").alias(names["key"]), n("bucket").alias(names["b"]), F.coalesce(F.sum(names["row"]).over(earlier), F.lit(0)).alias(names["before"]))
+    numbered = keyed.withColumn(names["row"], F.row_number().over(Window.partitionBy(names["of"], names["bucket"]).orderBy(names["order"])) - 1)
+    numbered = numbered.join(offsets, n("of").eqNullSafe(n("key")) & (n("bucket") == n("b")))
+    numbered = numbered.withColumn(names["block"], F.when(n("of").isNotNull(), F.floor((n("row") + n("before")) / block_rows)))
+    placed = numbered.join(F.broadcast(table), (n("of") == n("o")) & ((n("block") % n("share")).cast("int") == n("j")), "left")
+    base = F.floor(n("block") / n("share")) * length
     return placed.select(
-        *[F.col(f"`{c}`") for c in columns], F.col(block).alias("block"), (base + F.col("_slot")).alias("slot"), (base + F.col("_release")).alias("release"),
-        (base + F.col("_deadline")).alias("deadline"), F.coalesce(F.col(row) < F.col("_own.quota"), F.lit(False)).alias("in_mix"),
+        *[F.col(f"`{c}`") for c in columns], n("block").alias("block"), (base + n("slot")).alias("slot"), (base + n("release")).alias("release"),
+        (base + n("deadline")).alias("deadline"), n("of").isNotNull().alias("in_mix"),
     )
 
 
