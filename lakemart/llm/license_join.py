@@ -5,6 +5,9 @@ Words are ordered by their frequency in all documents, rarest first.  A template
 met only by blocks that hold one of its first n - k + 1 words (prefix filter), that have k template words at all
 (length filter), and whose words from the first common one on still suffice on both sides (positional filter).
 What is left is counted exactly.
+
+Templates of other labels whose own text would meet a template are its siblings.  A block must hold the words that tell a
+template from its siblings ("lesser", "nc"), and none by which a sibling goes beyond it.
 """
 
 from __future__ import annotations
@@ -75,6 +78,15 @@ def base_columns(text: Column) -> dict[str, Column]:
     }
 
 
+def telling_words(templates: list[tuple[str, set[str]]], threshold: float) -> list[tuple[set[str], set[str]]]:
+    """For each template ``(label, words)``, the words that a block must and must not hold, from its siblings."""
+    found = []
+    for label, own in templates:
+        siblings = [w for other, w in templates if other != label and len(own & w) >= threshold * len(own) - 1e-9]
+        found.append((set().union(*(own - w for w in siblings)), set().union(*(w - own for w in siblings if own <= w))))
+    return found
+
+
 def block_matches(docs: DataFrame, templates: list[tuple[str, str]], threshold: float, keep: list[str]) -> DataFrame:
     """``keep``, label and containment of each block of ``docs(keep, lowered)`` that meets a template."""
     spark = docs.sparkSession
@@ -88,12 +100,13 @@ def block_matches(docs: DataFrame, templates: list[tuple[str, str]], threshold:
     for r in rows.collect():
         ordered.setdefault(r["template"], []).append(place[r["word"]])
     wanted = []
-    for template, places in ordered.items():
+    by_place = telling_words([(templates[t][0], set(places)) for t, places in ordered.items()], threshold)
+    for (template, places), (must, must_not) in zip(ordered.items(), by_place, strict=True):
         places.sort()
         need = math.ceil(threshold * len(places) - 1e-9)
-        wanted += [(p, template, templates[template][0], at, need, places) for at, p in enumerate(places[: len(places) - need + 1])]
+        wanted += [(p, template, templates[template][0], at, need, places, sorted(must), sorted(must_not)) for at, p in enumerate(places[: len(places) - need + 1])]
     # One row for each prefix word of the fixed templates.
-    prefixes = spark.createDataFrame(wanted, "place int, template int, label string, at int, need int, places array<int>")
+    prefixes = spark.createDataFrame(wanted, "place int, template int, label string, at int, need int, places array<int>, must array<int>, must_not array<int>")
     starts = sorted({w for w, p in place.items() if p in {x[0] for x in wanted}})
     # A word's place by a map of the template words; others are not looked at.
     places = F.create_map(*[x for w, p in place.items() for x in (F.lit(w), F.lit(p))])
@@ -105,7 +118,8 @@ def block_matches(docs: DataFrame, templates: list[tuple[str, str]], threshold:
         (F.size("known") >= F.col("need")) & (F.least(F.size("places") - F.col("at"), F.size("known") - F.col("j")) >= F.col("need") - F.col("at"))
     )
     overlap = F.size(F.array_intersect("known", "places"))
-    return pairs.where(overlap >= F.col("need")).select(*keep, "label", (overlap / F.size("places")).alias("containment"))
+    told = (F.size(F.array_intersect("known", "must")) == F.size("must")) & ~F.arrays_overlap("known", "must_not")
+    return pairs.where((overlap >= F.col("need")) & told).select(*keep, "label", (overlap / F.size("places")).alias("containment"))
 
 
 def license_scan(docs: DataFrame, text: str = "text", id_col: str = "doc_id", templates: list[tuple[str, str]] = TEMPLATES, threshold: float = 0.8) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from lakemart.llm.license_join import BETWEEN, PHRASES, TEMPLATES
+import re
+
+from lakemart.llm.license_join import BETWEEN, PHRASES, TEMPLATES, WORD, telling_words
 
 
 def _text(value: str) -> str:
@@ -17,7 +19,9 @@ def _places(phrase: str) -> str:
 
 def licenses(threshold: float = 0.8) -> str:
     split = lambda x: f"list_filter(string_split_regex({x}, {_text(BETWEEN + '+')}), lambda x: x <> '')"
-    values = ", ".join(f"({i}, {_text(label)}, {_text(text.lower())})" for i, (label, text) in enumerate(TEMPLATES))
+    known = [(label, set(re.findall(WORD + "+", text.lower()))) for label, text in TEMPLATES]
+    lists = [[f"[{', '.join(map(_text, sorted(x)))}]::varchar[]" for x in pair] for pair in telling_words(known, threshold)]
+    values = ", ".join(f"({i}, {_text(label)}, {_text(text.lower())}, {lists[i][0]}, {lists[i][1]})" for i, (label, text) in enumerate(TEMPLATES))
     phrases = [(p, label) for p, label in sorted(PHRASES.items(), key=lambda x: x[1])]
     found = " || ".join(f"case when len({_places(p)}) > 0 then [{_text(label)}] else [] end" for p, label in phrases)
     return f"""
@@ -26,8 +30,9 @@ split as (select r, doc_id, {split('t')} as w from docs),
 based as (select r, doc_id, len(w) as n_words, {' || '.join(_places(p) for p, _ in phrases)} as places, {found} as base from split),
 blocks as (select r, list_distinct({split('b')}) as b
   from (select r, unnest(string_split(regexp_replace(t, '([.!?])[ \\t\\n\\x0B\\f\\r]', '\\1' || chr(10), 'g'), chr(10))) as b from docs)),
-templates as (select id, label, list_distinct({split('s')}) as s from (values {values}) v(id, label, s)),
-met as (select r, label, len(list_intersect(b, s)) / len(s) as held from blocks, templates where len(list_intersect(b, s)) >= ceil({threshold} * len(s) - 1e-9)),
+templates as (select id, label, list_distinct({split('s')}) as s, must, must_not from (values {values}) v(id, label, s, must, must_not)),
+met as (select r, label, len(list_intersect(b, s)) / len(s) as held from blocks, templates where len(list_intersect(b, s)) >= ceil({threshold} * len(s) - 1e-9)
+  and len(list_intersect(b, must)) = len(must) and len(list_intersect(b, must_not)) = 0),
 best as (select r, list(distinct label) as labels, max(held) as held from met group by r)
 select doc_id, cast(n_words as bigint) as n_words, cast(len(places) as bigint) as n_base, cast(list_min(places) as bigint) as first_word,
   cast(list_max(places) as bigint) as last_word, array_to_string(list_sort(base), ',') as base_labels,
