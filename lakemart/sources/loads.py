@@ -18,8 +18,9 @@ def read_raw(lake: Lake, table: str, path: str | list[str], run_id: str, array_f
              indent: int | None = None, loaded_at: dt.datetime | None = None, multiline: bool = False) -> DataFrame:
     """The rows of a file drop as the raw table takes them.
 
-    JSON may be lines, or arrays with a known ``indent``; an indent is found from the first file.  Arrays of
-    any other form need ``array_files``.  ``multiline`` allows line breaks in quoted CSV fields.
+    JSON may be lines, or arrays with a known ``indent``; an indent is found from the first file.  Arrays of any other
+    form, and drops that mix forms, need ``array_files``, which looks at each file.  ``multiline`` allows line breaks in
+    quoted CSV fields.
     """
     if table in schemas.DELIMITED:
         df = readers.read_delimited(lake.spark, path, table, multiline)

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from lakemart.functions.casts import null_if
 from lakemart.functions.dates import now
-from lakemart.sources import schemas
+from lakemart.sources import arrays, schemas
 
 # Texts that stand for NULL in delimited files.
 NULL_TOKENS = ("", "NULL")
@@ -78,15 +78,12 @@ def array_indent(spark: SparkSession, path: str | list[str]) -> int | None:
 def read_json_arrays(spark: SparkSession, path: str | list[str], indent: int | None = None) -> DataFrame:
     """One variant row per element of the array that each file holds.
 
-    With the ``indent`` that the array was written with, every element starts on a line of its own and
-    large files are split between elements.  Otherwise a file is one record of at most 2 GB, and only
-    files run in parallel.
+    With the ``indent`` that all arrays were written with, every element starts on a line of its own and files are split
+    there in one pass.  Otherwise files may be of any layout, each its own, and are split by two passes (``arrays``).
     """
     if indent:
         return _indented_elements(spark, path, indent)
-    files = spark.read.text(path, wholetext=True)
-    elements = F.from_json("value", "array<variant>", {"mode": "FAILFAST"})
-    return files.select(F.explode(elements).alias(schemas.DOCUMENT_COLUMN), F.col("_metadata"))
+    return arrays.read_json_any(spark, path)
 
 
 def _indented_elements(spark: SparkSession, path: str | list[str], indent: int) -> DataFrame:
@@ -99,11 +96,13 @@ def _indented_elements(spark: SparkSession, path: str | list[str], indent: int)
     return records.select(F.parse_json(element).alias(schemas.DOCUMENT_COLUMN), F.col("_metadata"))
 
 
-def stream_files(spark: SparkSession, path: str, table: str, **options: str) -> DataFrame:
-    """The same readers as a stream of the files that arrive below ``path``."""
+def stream_files(spark: SparkSession, path: str, table: str, array_files: bool = False, **options: str) -> DataFrame:
+    """The same readers as a stream of the files that arrive below ``path``; array files come as ``arrays`` cuts them."""
     reader = spark.readStream.options(**options)
     if table in schemas.DELIMITED:
         return _delimited(reader, table).csv(path)
+    if array_files:
+        return arrays.cut_files(reader, path)
     return _elements(_documents(reader).schema(schemas.business_schema(table)).json(path))
 
 

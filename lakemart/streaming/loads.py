@@ -12,26 +12,30 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lakemart.functions import dates
 from lakemart.operators.dedup import latest_per_key
-from lakemart.sources import readers
+from lakemart.sources import arrays, readers, schemas
 from lakemart.sources.lake import FAILED, STARTED, SUCCESS, Lake, utc_now
 from lakemart.sources.latest import LatestTable
-from lakemart.workspace import delete, exists, hadoop_path, write_counted
+from lakemart.workspace import delete, exists, hadoop_path, scratch, write_counted
 
 BUCKET = "key_bucket"
 
 
 def stream_raw(lake: Lake, table: str, source: str, checkpoint: str, archive_to: str | None = None,
-               files_per_batch: int = 1000) -> StreamingQuery:
+               files_per_batch: int = 1000, array_files: bool = False) -> StreamingQuery:
     """Load the files that arrived below ``source`` since the last call, then stop.
 
     The checkpoint knows which files are loaded.  A micro-batch is a run whose id follows from the stream
     and the batch number, so a batch repeated after a failure replaces its own rows.  ``archive_to``
-    moves finished files away (I10).
+    moves finished files away (I10).  ``array_files`` takes JSON of any layout, also arrays over many lines, and splits
+    large files within a batch.
     """
+    by_pieces = array_files and table not in schemas.DELIMITED
     options = {"maxFilesPerTrigger": str(files_per_batch)}
     if archive_to:
         options |= {"cleanSource": "archive", "sourceArchiveDir": archive_to}
-    arrived = readers.with_lineage(readers.stream_files(lake.spark, source, table, **options), "")
+    arrived = readers.stream_files(lake.spark, source, table, by_pieces, **options)
+    if not by_pieces:
+        arrived = readers.with_lineage(arrived, "")
 
     def append(batch: DataFrame, batch_id: int) -> None:
         stream_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
@@ -39,7 +43,9 @@ def stream_raw(lake: Lake, table: str, source: str, checkpoint: str, archive_to:
         started = utc_now()
         lake.log_run(table, run_id, STARTED, started, source=source)
         try:
-            rows = lake.append_raw(table, readers.blank_to_null(batch).withColumn("_run_id", F.lit(run_id)), run_id)
+            with scratch(batch.sparkSession):
+                read = readers.with_lineage(arrays.documents_of(batch), "").drop("_metadata") if by_pieces else readers.blank_to_null(batch)
+                rows = lake.append_raw(table, read.withColumn("_run_id", F.lit(run_id)), run_id)
         except Exception as error:
             lake.log_run(table, run_id, FAILED, started, source=source, error=str(error))
             raise

@@ -7,6 +7,7 @@ A written table cuts lineage and outlives lost executors.  The folder is the one
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _local_folder: tempfile.TemporaryDirectory | None = None
-_scopes: list[list[str]] = []
+_scopes = threading.local()
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -92,23 +93,29 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
-    """Delete on exit what ``Stored`` wrote inside; results that read it must be written by then."""
-    _scopes.append([])
+    """Delete on exit what ``Stored`` wrote inside, in this thread; results that read it must be written by then."""
+    outer, _scopes.paths = _open_scope(), []
     try:
         yield
     finally:
-        for path in _scopes.pop():
+        written, _scopes.paths = _scopes.paths, outer
+        for path in written:
             delete(spark, path)
 
 
+def _open_scope() -> list[str] | None:
+    """What is to be deleted with the innermost ``scratch`` of this thread, if there is one."""
+    return getattr(_scopes, "paths", None)
+
+
 class Stored:
     """A DataFrame written as Parquet: ``df`` reads it back (column-pruned), ``rows`` is its size."""
 
     def __init__(self, df: DataFrame, label: str):
         spark = df.sparkSession
         self.path = fresh_path(spark, label)
-        if _scopes:
-            _scopes[-1].append(self.path)
+        if (scope := _open_scope()) is not None:
+            scope.append(self.path)
         self.rows = write_counted(df, self.path)
         self.df = spark.read.schema(df.schema).parquet(self.path)
 
