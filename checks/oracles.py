@@ -277,6 +277,8 @@ ORACLES = {
         select c.*, s.* from (select shipping_country, cast(sum(line_revenue) as decimal(28,2)) as revenue from stg_orders group by 1) c
         cross join (select cast(sum(revenue) as decimal(38,2)) as all_revenue, max(revenue) as max_revenue
                     from (select cast(sum(line_revenue) as decimal(28,2)) as revenue from stg_orders group by shipping_country)) s"""),
+    "merged_reach": sql(["completed"], """
+        select shipping_country, count(distinct customer_id) as unique_customers, true as within_4_pct from completed group by shipping_country"""),
     "multi_distinct": sql(["clean_orders"], """
         select shipping_country, count(distinct order_id) as order_ids, count(distinct customer_id) as customers, count(distinct product_id) as products
         from clean_orders group by 1"""),
@@ -310,6 +312,7 @@ ORACLES = {
     "stream_events_hourly": sql(["hourly"], "select * from hourly"),
 }
 for _again, _as in {"load_json_array_products": "load_json_products", "load_json_array_events": "load_json_events",
+                    "load_json_mixed_layouts": "load_json_events", "stream_json_array_products": "load_json_products",
                     "stream_raw_load_documents": "load_json_events", "published_mart_sales": "mart_sales",
                     "grown_mart_sales": "mart_sales", "grown_mart_customer_rfm": "mart_customer_rfm", "grown_mart_product": "mart_product",
                     "grown_mart_anomalies": "mart_anomalies", "compacted_events_hourly": "events_hourly", "published_stg_orders": "stg_orders",

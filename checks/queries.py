@@ -358,6 +358,19 @@ def multi_distinct(spark, sf):
     return aggregates.distinct_counts(cleaned, ["shipping_country"], {"order_ids": "order_id", "customers": "customer_id", "products": "product_id"})
 
 
+@query
+def merged_reach(spark, sf):
+    """Customers of each country from the stored sketches of its months and categories, beside the exact count."""
+    lake = new_lake(spark)
+    lines = orders(spark, sf)
+    lake.publish(lake.marts, "mart_reach", marts.mart_reach(lines, products(spark, sf)))
+    estimated = aggregates.merged_distinct(lake.table(lake.marts, "mart_reach"), ["shipping_country"], ["customers"])
+    exact = aggregates.distinct_counts(marts.completed(lines), ["shipping_country"], {"unique_customers": "customer_id"})
+    both = exact.join(estimated.withColumnRenamed("shipping_country", "_country"), F.col("shipping_country").eqNullSafe(F.col("_country")), "left")
+    near = F.abs(F.col("customers") - F.col("unique_customers")) <= 0.04 * F.col("unique_customers")
+    return both.select("shipping_country", "unique_customers", near.alias("within_4_pct"))
+
+
 @query
 def conditional_distinct(spark, sf):
     c = F.col
@@ -482,12 +495,17 @@ ARRAY_CHARS = 32 << 20
 
 
 def landed_array(spark, sf, name: str, indent: int | None) -> str:
+    return written_array(adapter.raw(spark, sf, name), indent)
+
+
+def written_array(raw: DataFrame, indent: int | None, path: str | None = None) -> str:
     """Raw documents as files of one JSON array each, elements indented or all on one line; larger inputs make more files."""
-    lines = adapter.raw(spark, sf, name).select(F.to_json("raw_data").alias("line"), F.monotonically_increasing_id().alias("id"))
+    spark = raw.sparkSession
+    lines = raw.select(F.to_json("raw_data").alias("line"), F.monotonically_increasing_id().alias("id"))
     spaces = "\n" + " " * (indent or 0) if indent else ""
     inner = F.regexp_replace(F.regexp_replace("line", r"^\{", "{" + "\n" + " " * 2 * (indent or 1)), r"\}$", spaces + "}") if indent else F.col("line")
     joined = F.concat(F.lit("[" + spaces), F.array_join(F.collect_list(inner), "," + spaces), F.lit("\n]" if indent else "]"))
-    path = fresh_path(spark, "arrays")
+    path = path or fresh_path(spark, "arrays")
     chars = lines.agg(F.sum(F.length(inner) + F.lit(2 + len(spaces)))).first()[0] or 0
     files = max(8, -(-chars // ARRAY_CHARS))
     # With its own id in the hash, a line that repeats goes to all files.
@@ -516,6 +534,27 @@ def stream_raw_load_documents(spark, sf):
     return event_fields(lake)
 
 
+@query
+def load_json_mixed_layouts(spark, sf):
+    """One drop of lines, compact arrays and indented arrays."""
+    lake = new_lake(spark)
+    raw, third = adapter.raw(spark, sf, "web_events"), F.pmod(F.xxhash64(F.to_json("raw_data")), F.lit(3))
+    drop = fresh_path(spark, "mixed")
+    written_array(raw.where(third == 0), None, f"{drop}/compact")
+    written_array(raw.where(third == 1), 2, f"{drop}/indented")
+    raw.where(third == 2).select(F.to_json("raw_data")).write.text(f"{drop}/lines")
+    load_raw(lake, "raw_web_events", f"{drop}/*", array_files=True)
+    return event_fields(lake)
+
+
+@query
+def stream_json_array_products(spark, sf):
+    """Indented arrays as a stream."""
+    lake = new_lake(spark)
+    stream_raw(lake, "raw_products", landed_array(spark, sf, "products", 2), fresh_path(spark, "ckpt"), files_per_batch=3, array_files=True).awaitTermination()
+    return product_fields(lake)
+
+
 # C11 from changes, C1-C8 as published
 
 def once(build: Callable[[SparkSession, str], Lake]) -> Callable[[SparkSession, str], Lake]:

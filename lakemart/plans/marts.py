@@ -21,6 +21,7 @@ from lakemart.workspace import Stored
 COMPLETED, RETURNED = "completed", "returned"
 
 SALES_KEYS = ["order_date", "category", "sub_category", "shipping_country"]
+REACH_KEYS = ["order_month", "category", "shipping_country"]
 PRODUCT_COLUMNS = ["product_id", "product_name", "category", "sub_category", "supplier", "unit_cost", "unit_price",
                    "gross_margin_pct", "stock_status", "stock_qty"]
 CUSTOMER_COLUMNS = ["customer_name", "email", "segment", "city", "country", "signup_date"]
@@ -64,6 +65,17 @@ def mart_sales(orders: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
+def mart_reach(orders: DataFrame, products: DataFrame) -> DataFrame:
+    """Sketches of the customers behind each month, category and country of ``mart_sales``.
+
+    Distinct customers of groups don't add up; these sketches do (``aggregates.merged_distinct``), so the reach of a month,
+    of a country or of both is estimated from the mart without the orders.
+    """
+    lines = joins.enrich(completed(orders), products.select("product_id", "category", "sub_category"), "product_id")
+    lines = lines.withColumn("order_month", dates.month_start(F.col("order_date")))
+    return aggregates.distinct_sketches(lines, REACH_KEYS, {"customers": "customer_id"})
+
+
 def customer_orders(orders: DataFrame) -> DataFrame:
     """Completed orders per customer."""
     return completed(orders).groupBy("customer_id").agg(

@@ -64,6 +64,10 @@ class Lake:
         self.spark.catalog.refreshTable(f"{self.raw}.{table}")
         return rows
 
+    def has_run(self, table: str, run_id: str) -> bool:
+        """Whether the rows of a run are visible."""
+        return not self.spark.sql(f"SHOW PARTITIONS {self.raw}.{table} PARTITION (_run_id = '{run_id}')").isEmpty()
+
     def append_rejects(self, df: DataFrame, run_id: str) -> int:
         """Set aside the records of a run that could not be taken; the first ones make the table."""
         columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schemas.REJECTS_SCHEMA.fields)

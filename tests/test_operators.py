@@ -249,3 +249,15 @@ def test_no_rows(spark):
 def test_layer_counts(spark):
     got = layer_counts({"a": spark.range(3), "b": spark.range(0)})
     assert {tuple(r) for r in got.collect()} == {("a", 3), ("b", 0)}
+
+
+def test_sketches_merge_to_any_total(spark):
+    rows = spark.range(60_000).select((F.col("id") % 7).alias("a"), (F.col("id") % 3).alias("b"), F.when(F.col("id") % 11 != 0, F.col("id") % 9_973).alias("v"))
+    sketches = aggregates.distinct_sketches(rows, ["a", "b"], {"n": "v"})
+    for keys in ([], ["a"], ["b"], ["a", "b"]):
+        exact = {tuple(r[k] for k in keys): r["n"] for r in aggregates.distinct_counts(rows, keys, {"n": "v"}).collect()}
+        got = {tuple(r[k] for k in keys): r["n"] for r in aggregates.merged_distinct(sketches, keys, ["n"]).collect()}
+        assert got.keys() == exact.keys()
+        assert all(abs(got[k] - n) <= 0.03 * n for k, n in exact.items())
+    none = aggregates.distinct_sketches(spark.createDataFrame([(1, None)], "a int, v string"), ["a"], {"n": "v"})
+    assert aggregates.merged_distinct(none, ["a"], ["n"]).collect()[0]["n"] == 0

@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from lakemart.sources import readers, schemas, sinks
+from lakemart.sources import moves, readers, schemas, sinks
 from lakemart.sources.lake import FAILED, SUCCESS
 from lakemart.sources.loads import load_raw, read_raw
 
@@ -198,3 +198,70 @@ def test_bad_documents_are_set_aside(spark, lake, tmp_path):
     assert [(r["record"], r["reason"], r["_source_file"].rsplit("/")[-1]) for r in lake.rejects().collect()] == [('{"event_id": ', "malformed", "e.json")]
     load_raw(lake, "raw_web_events", str(tmp_path / "e.json"), run_id="again", quarantine=True)
     assert lake.rejects().count() == 2 and lake.table(lake.raw, "raw_web_events").count() == 6
+
+
+def customers_drop(tmp_path, n):
+    (tmp_path / "drop").mkdir(exist_ok=True)
+    for i in range(n):
+        (tmp_path / "drop" / f"{i}.csv").write_text(",".join(schemas.CUSTOMER_COLUMNS) + f"\n{i},x,,p,c,n,s,2024-01-01\n")
+
+
+@pytest.mark.parametrize("delete_read", [False, True])
+def test_a_load_interrupted_between_moves_ends_right(spark, lake, tmp_path, monkeypatch, delete_read):
+    customers_drop(tmp_path, 5)
+    path, how = f"{tmp_path}/drop/*.csv", {"delete_read": True} if delete_read else {"archive_to": str(tmp_path / "done")}
+    done, tried = moves._done, []
+
+    def fails_later(lake, file, target):
+        tried.append(file)
+        if len(tried) > 2:
+            raise OSError("gone away")
+        return done(lake, file, target)
+
+    monkeypatch.setattr(moves, "THREADS", 1)
+    monkeypatch.setattr(moves, "_done", fails_later)
+    with pytest.raises(OSError, match="gone away"):
+        load_raw(lake, "raw_customers", path, "first", **how)
+    monkeypatch.setattr(moves, "_done", done)
+    assert moves.unfinished(lake) == ["first"] and len(list((tmp_path / "drop").glob("*.csv"))) == 3
+    (tmp_path / "drop" / "new.csv").write_text(",".join(schemas.CUSTOMER_COLUMNS) + "\nnew,x,,p,c,n,s,2024-01-01\n")
+    assert load_raw(lake, "raw_customers", path, "second", **how) == 1
+    assert sorted(r["customer_id"] for r in lake.table(lake.raw, "raw_customers").collect()) == ["0", "1", "2", "3", "4", "new"]
+    assert moves.unfinished(lake) == [] and not list((tmp_path / "drop").glob("*.csv"))
+    assert len(list((tmp_path / "done").glob("*.csv"))) == (0 if delete_read else 6)
+
+
+def test_moves_of_a_load_that_failed_are_not_due(spark, lake, tmp_path, monkeypatch):
+    customers_drop(tmp_path, 2)
+    path = f"{tmp_path}/drop/*.csv"
+    append = type(lake).append_raw
+
+    def breaks(self, *args):
+        raise OSError("no space")
+
+    for run in ("a", "a"):  # also as a run that repeats itself
+        monkeypatch.setattr(type(lake), "append_raw", breaks)
+        with pytest.raises(OSError, match="no space"):
+            load_raw(lake, "raw_customers", path, run, archive_to=str(tmp_path / "done"))
+        monkeypatch.setattr(type(lake), "append_raw", append)
+        assert moves.recover(lake, "raw_customers") == []
+        assert len(list((tmp_path / "drop").glob("*.csv"))) == 2
+        load_raw(lake, "raw_customers", path, run)
+    assert lake.table(lake.raw, "raw_customers").count() == 2
+    assert moves.recover(lake, "raw_orders") == []
+
+
+def test_moves_never_overwrite(spark, lake, tmp_path):
+    customers_drop(tmp_path, 1)
+    (tmp_path / "done").mkdir()
+    (tmp_path / "done" / "0.csv").write_text("other")
+    with pytest.raises(OSError, match="could not move"):
+        load_raw(lake, "raw_customers", f"{tmp_path}/drop/*.csv", archive_to=str(tmp_path / "done"))
+    assert (tmp_path / "done" / "0.csv").read_text() == "other" and (tmp_path / "drop" / "0.csv").exists()
+
+
+def test_array_files_are_archived(spark, lake, tmp_path):
+    (tmp_path / "drop").mkdir()
+    (tmp_path / "drop" / "a.json").write_text('[{"event_id": "1"}, {"event_id": "2"}]')
+    assert load_raw(lake, "raw_web_events", f"{tmp_path}/drop/*.json", array_files=True, archive_to=str(tmp_path / "done")) == 2
+    assert (tmp_path / "done" / "a.json").exists() and not (tmp_path / "drop" / "a.json").exists()
