@@ -1,10 +1,11 @@
 """License scans: an exact set-similarity join of text blocks with license templates, by built-in functions only.
 
-A block (sentence or line) matches a template if it holds at least ``threshold`` of the template's distinct words.
-Words are ordered by their frequency in all documents, rarest first.  A template of n words that needs k of them is
-met only by blocks that hold one of its first n - k + 1 words (prefix filter), that have k template words at all
+A block matches a template if it holds at least ``threshold`` of the template's distinct words.  Blocks are sentences, lines,
+and every run of as many consecutive words as the template has (all words, if there are fewer), across line breaks and
+sentence ends.  Words are ordered by their frequency in all documents, rarest first.  A template of n words that needs k of
+them is met only in texts that hold one of its first n - k + 1 words (prefix filter), that have k template words at all
 (length filter), and whose words from the first common one on still suffice on both sides (positional filter).
-What is left is counted exactly.
+Blocks are formed of the texts that are left, for the templates that are left, and counted exactly.
 
 Templates of other labels whose own text would meet a template are its siblings.  A block must hold the words that tell a
 template from its siblings ("lesser", "nc"), and none by which a sibling goes beyond it.
@@ -13,6 +14,7 @@ template from its siblings ("lesser", "nc"), and none by which a sibling goes be
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +26,8 @@ WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]"
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
 BLOCK_END = r"\n|(?<=[.!?])\s"
 
+WANTED = "struct<label string, need int, length int, words array<string>, must array<string>, must_not array<string>>"
+
 #: Phrases that always give a label.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
@@ -87,39 +91,53 @@ def telling_words(templates: list[tuple[str, set[str]]], threshold: float) -> li
     return found
 
 
-def block_matches(docs: DataFrame, templates: list[tuple[str, str]], threshold: float, keep: list[str]) -> DataFrame:
-    """``keep``, label and containment of each block of ``docs(keep, lowered)`` that meets a template."""
+def text_matches(docs: DataFrame, templates: list[tuple[str, str]], threshold: float) -> DataFrame:
+    """The rows of ``docs`` with each template (``wanted``) of which they hold ``threshold`` of the words anywhere in ``lowered``."""
     spark = docs.sparkSession
-    rows = spark.createDataFrame([(i, label, text) for i, (label, text) in enumerate(templates)], "template int, label string, text string")
-    rows = rows.select("template", "label", F.explode(F.array_distinct(words(F.lower("text")))).alias("word"))
-    vocabulary = sorted({r["word"] for r in rows.select("word").distinct().collect()})  # of the fixed templates
+    split = [list(filter(None, re.split(BETWEEN + "+", text.lower()))) for _, text in templates]
+    vocabulary = sorted(set().union(*split))  # of the fixed templates
     counted = docs.select(F.explode(F.split("lowered", BETWEEN + "+")).alias("word")).where(F.col("word").isin(vocabulary)).groupBy("word").count()
     frequency = {r["word"]: r["count"] for r in counted.collect()}  # as many rows as the templates have words
     place = {w: i for i, w in enumerate(sorted(vocabulary, key=lambda w: (frequency.get(w, 0), w)))}
-    ordered: dict[int, list[int]] = {}
-    for r in rows.collect():
-        ordered.setdefault(r["template"], []).append(place[r["word"]])
-    wanted = []
-    by_place = telling_words([(templates[t][0], set(places)) for t, places in ordered.items()], threshold)
-    for (template, places), (must, must_not) in zip(ordered.items(), by_place, strict=True):
-        places.sort()
+    rows = []
+    telling = telling_words([(label, set(own)) for (label, _), own in zip(templates, split, strict=True)], threshold)
+    for (label, _), own, (must, must_not) in zip(templates, split, telling, strict=True):
+        places = sorted(place[w] for w in set(own))
         need = math.ceil(threshold * len(places) - 1e-9)
-        wanted += [(p, template, templates[template][0], at, need, places, sorted(must), sorted(must_not)) for at, p in enumerate(places[: len(places) - need + 1])]
+        wanted = (label, need, len(own), sorted(set(own)), sorted(must), sorted(must_not))
+        rows += [(p, at, places, wanted) for at, p in enumerate(places[: len(places) - need + 1])]
     # One row for each prefix word of the fixed templates.
-    prefixes = spark.createDataFrame(wanted, "place int, template int, label string, at int, need int, places array<int>, must array<int>, must_not array<int>")
-    starts = sorted({w for w, p in place.items() if p in {x[0] for x in wanted}})
+    prefixes = spark.createDataFrame(rows, f"place int, at int, places array<int>, wanted {WANTED}")
+    starts = sorted(w for w, p in place.items() if p in {r[0] for r in rows})
     # A word's place by a map of the template words; others are not looked at.
     places = F.create_map(*[x for w, p in place.items() for x in (F.lit(w), F.lit(p))])
-    blocks = docs.select(*keep, F.explode(F.split("lowered", BLOCK_END)).alias("block"))
-    found = blocks.withColumn("words", F.split("block", BETWEEN + "+")).where(F.arrays_overlap("words", F.array(*map(F.lit, starts))))
+    found = docs.withColumn("words", F.split("lowered", BETWEEN + "+")).where(F.arrays_overlap("words", F.array(*map(F.lit, starts))))
     known = F.array_sort(F.transform(F.array_intersect("words", F.array(*map(F.lit, vocabulary))), lambda w: places[w]))
-    keyed = found.withColumn("known", known).select(*keep, "known", F.posexplode("known").alias("j", "place"))
+    keyed = found.withColumn("known", known).select(*docs.columns, "known", F.posexplode("known").alias("j", "place"))
+    need, common = F.col("wanted.need"), F.array_intersect("known", "places")
     pairs = keyed.join(F.broadcast(prefixes), "place").where(
-        (F.size("known") >= F.col("need")) & (F.least(F.size("places") - F.col("at"), F.size("known") - F.col("j")) >= F.col("need") - F.col("at"))
+        (F.size("known") >= need) & (F.least(F.size("places") - F.col("at"), F.size("known") - F.col("j")) >= need - F.col("at"))
     )
-    overlap = F.size(F.array_intersect("known", "places"))
-    told = (F.size(F.array_intersect("known", "must")) == F.size("must")) & ~F.arrays_overlap("known", "must_not")
-    return pairs.where((overlap >= F.col("need")) & told).select(*keep, "label", (overlap / F.size("places")).alias("containment"))
+    # A pair that shares several prefix words is taken by the first.
+    return pairs.where((F.size(common) >= need) & (common[0] == F.col("place"))).select(*docs.columns, "wanted")
+
+
+def block_matches(docs: DataFrame, templates: list[tuple[str, str]], threshold: float, keep: list[str]) -> DataFrame:
+    """``keep``, label and containment of each block of ``docs(keep, lowered)`` that meets a template."""
+    pairs = text_matches(docs, templates, threshold)
+    length = F.col("wanted.length")
+    block_words = F.transform(F.split("lowered", BLOCK_END), lambda block: F.split(block, BETWEEN + "+"))
+    # Stretches of two lengths, one length apart, hold every run of one length.
+    all_words = pairs.withColumn("words", words(F.col("lowered"))).where(F.size("words") > 0)
+    steps = F.sequence(F.lit(0), F.floor((F.size("words") - 1) / length).cast("int"))
+    stretches = all_words.select(*keep, "wanted", F.explode(F.transform(steps, lambda k: F.slice("words", k * length + 1, 2 * length))).alias("stretch"))
+    stretches = stretches.where(F.size(F.array_intersect("stretch", "wanted.words")) >= F.col("wanted.need"))
+    runs = F.transform(F.sequence(F.lit(1), F.greatest(F.size("stretch") - length + 1, F.lit(1))), lambda i: F.slice("stretch", i, length))
+    blocks = pairs.select(*keep, "wanted", F.explode(block_words).alias("block")).unionByName(stretches.select(*keep, "wanted", F.explode(runs).alias("block")))
+    overlap = F.size(F.array_intersect("block", "wanted.words"))
+    told = (F.size(F.array_intersect("block", "wanted.must")) == F.size("wanted.must")) & ~F.arrays_overlap("block", "wanted.must_not")
+    met = blocks.where((overlap >= F.col("wanted.need")) & told)
+    return met.select(*keep, "wanted.label", (overlap / F.size("wanted.words")).alias("containment"))
 
 
 def license_scan(docs: DataFrame, text: str = "text", id_col: str = "doc_id", templates: list[tuple[str, str]] = TEMPLATES, threshold: float = 0.8) -> DataFrame:

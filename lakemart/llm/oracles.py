@@ -28,10 +28,15 @@ def licenses(threshold: float = 0.8) -> str:
 with docs as (select row_number() over () as r, doc_id, lower(coalesce(text, '')) as t from documents),
 split as (select r, doc_id, {split('t')} as w from docs),
 based as (select r, doc_id, len(w) as n_words, {' || '.join(_places(p) for p, _ in phrases)} as places, {found} as base from split),
-blocks as (select r, list_distinct({split('b')}) as b
-  from (select r, unnest(string_split(regexp_replace(t, '([.!?])[ \\t\\n\\x0B\\f\\r]', '\\1' || chr(10), 'g'), chr(10))) as b from docs)),
-templates as (select id, label, list_distinct({split('s')}) as s, must, must_not from (values {values}) v(id, label, s, must, must_not)),
-met as (select r, label, len(list_intersect(b, s)) / len(s) as held from blocks, templates where len(list_intersect(b, s)) >= ceil({threshold} * len(s) - 1e-9)
+templates as (select id, label, list_distinct({split('s')}) as s, len({split('s')}) as n, must, must_not from (values {values}) v(id, label, s, must, must_not)),
+texts as (select r, id, w from split, templates where len(list_intersect(w, s)) >= ceil({threshold} * len(s) - 1e-9)),
+blocks as (
+  select r, id, list_distinct({split('b')}) as b
+  from (select r, id, unnest(string_split(regexp_replace(t, '([.!?])[ \\t\\n\\x0B\\f\\r]', '\\1' || chr(10), 'g'), chr(10))) as b from docs join texts using (r))
+  union all
+  select r, id, list_distinct(w[i : i + n - 1]) as b
+  from (select r, id, w, n, unnest(range(1, greatest(len(w) - n, 0) + 2)) as i from texts join templates using (id))),
+met as (select r, label, len(list_intersect(b, s)) / len(s) as held from blocks join templates using (id) where len(list_intersect(b, s)) >= ceil({threshold} * len(s) - 1e-9)
   and len(list_intersect(b, must)) = len(must) and len(list_intersect(b, must_not)) = 0),
 best as (select r, list(distinct label) as labels, max(held) as held from met group by r)
 select doc_id, cast(n_words as bigint) as n_words, cast(len(places) as bigint) as n_base, cast(list_min(places) as bigint) as first_word,

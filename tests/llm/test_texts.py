@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -247,6 +248,7 @@ def test_licenses(spark, table, request):
     docs = request.getfixturevalue(table).select("doc_id", "text").union(spark.createDataFrame([(999, more)], "doc_id bigint, text string"))
     word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     templates = [(label, set(word.findall(t.lower()))) for label, t in license_join.TEMPLATES]
+    lengths = [len(word.findall(t.lower())) for _, t in license_join.TEMPLATES]
     want = Counter()
     for doc_id, text in texts_of(docs):
         words, at, base = word.findall(text.lower()), [], set()
@@ -255,9 +257,11 @@ def test_licenses(spark, table, request):
             at += here
             base |= {label} if here else set()
         labels, best = set(base), 0.0
-        for block in re.split(r"\n|(?<=[.!?])\s", text.lower()):
-            own = set(word.findall(block))
-            for label, t in templates:
+        blocks = [set(word.findall(block)) for block in re.split(r"\n|(?<=[.!?])\s", text.lower())]
+        for (label, t), n in zip(templates, lengths, strict=True):
+            if len(t & set(words)) / len(t) < 0.8 - 1e-9:
+                continue
+            for own in [*blocks, *(set(words[i : i + n]) for i in range(max(len(words) - n, 0) + 1))]:
                 others = [u for other, u in templates if other != label and len(t & u) / len(t) >= 0.8 - 1e-9]
                 told = all(t - u <= own and not (t <= u and own & (u - t)) for u in others)
                 if len(own & t) / len(t) >= 0.8 - 1e-9 and told:
@@ -267,6 +271,17 @@ def test_licenses(spark, table, request):
     assert Counter(map(tuple, license_join.license_scan(docs).collect())) == want
 
 
+@pytest.mark.parametrize("width", [20, 40, 72])
+def test_each_license_is_found_wrapped_and_embedded(spark, width):
+    around = "the quick fox and a lazy dog. " * 9
+    rows = [(i, textwrap.fill(f"{around}# {text} {around}", width)) for i, (_, text) in enumerate(license_join.TEMPLATES)]
+    found = license_join.license_scan(spark.createDataFrame(rows, "doc_id int, text string")).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        label = license_join.TEMPLATES[r["doc_id"]][0]
+        assert set(r["labels"].split(",")) == {label, *filter(None, r["base_labels"].split(","))} and r["score"] == 1.0
+
+
 def test_each_license_sentence_has_its_own_label(spark):
     rows = [(i, f"Some text before. {text} And more\nbehind.") for i, (_, text) in enumerate(license_join.TEMPLATES) if text.count(". ") == 0 or "4.0" in text]
     found = license_join.license_scan(spark.createDataFrame(rows, "doc_id int, text string")).collect()
