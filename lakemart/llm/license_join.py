@@ -15,6 +15,8 @@ from __future__ import annotations
 
 import math
 import re
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +25,8 @@ from lakemart.llm.texts import stored
 
 #: A word is a run of these; white space, punctuation and other ASCII characters lie between (texts are lower-cased).
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]"
+#: The same in lower-cased text, as Java's matcher tells it fastest.
+IN_WORD = r"[0-9a-z\x80-\x{10FFFF}]"
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
 BLOCK_END = r"\n|(?<=[.!?])\s"
 
@@ -59,16 +63,20 @@ def words(text: Column) -> Column:
 
 
 def phrase(text: str) -> str:
-    """A pattern for the words of a phrase in direct succession, in lower-cased text."""
-    return f"(?<!{WORD})" + f"{BETWEEN}+".join(text.split()) + f"(?!{WORD})"
+    """A pattern for the words of a phrase in direct succession, in lower-cased text.
+
+    It looks for the first word before it looks at what is in front of it, which most places don't come to.
+    """
+    first, *others = text.split()
+    return f"{BETWEEN}+".join([f"{first}(?<!{IN_WORD}{first})", *others]) + f"(?!{IN_WORD})"
 
 
 def base_columns(text: Column) -> dict[str, Column]:
     """n_words, n_base, first_word, last_word and base_labels of a lower-cased text."""
-    count = lambda x: F.regexp_count(x, F.lit(WORD + "+")).cast("bigint")
-    # Few texts hold the rarest word of a phrase; only those are searched.
-    might = text.contains("cc") | text.contains("general") | text.contains("reserved")
-    places = {label: F.when(might, F.regexp_count(text, F.lit(phrase(p)))).otherwise(0) for p, label in PHRASES.items()}
+    count = lambda x: F.regexp_count(x, F.lit(IN_WORD + "+")).cast("bigint")
+    # Few texts hold all words of a phrase; only those are searched.
+    might = {p: reduce(and_, [text.contains(w) for w in p.split()]) for p in PHRASES}
+    places = {label: F.when(might[p], F.regexp_count(text, F.lit(phrase(p)))).otherwise(0) for p, label in PHRASES.items()}
     anything = "|".join(map(phrase, PHRASES))
     n_base = sum(places.values(), F.lit(0)).cast("bigint")
     gaps = F.split(text, anything, -1)
