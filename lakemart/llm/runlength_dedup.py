@@ -3,7 +3,10 @@
 Every string of ``length`` bytes chooses the least hash of the short grams inside it.  Successive strings of a text
 that choose the same hash form a stretch; equal strings choose equally, so they meet in stretches of the same hash,
 whatever texts they come from.  Stretches that are equal as a whole are told by 128-bit digests and their text is not
-needed; of the others, one of each content goes with its hash's group into an index.
+needed; of the others, one of each content goes with its hash's group into an index.  What stands in a group that is
+too large for an index goes through further rounds as rows, by the least hash of longer and longer grams: strings that
+differ agree on ever fewer of them.  The last grams are the strings themselves, which are only counted, so any group
+comes to an end whatever it holds.
 
 The index is the Burrows-Wheeler transform of the group's stretches in runs.  A suffix shares one byte less with its
 neighbour in sorted order than the suffix before it in the text does, unless it stands at the end of a run.  So only
@@ -21,30 +24,37 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from lakemart.llm.texts import map_texts, stored
+from lakemart.llm.texts import sliced, stored
 
 GRAM = 32
-#: Bytes that are hashed at a time; bytes that one index holds.
-PIECE, BATCH = 1 << 22, 1 << 20
+#: Bytes that are hashed at a time; bytes that one index holds; stretches in a batch of rows.
+PIECE, BATCH, ROWS = 1 << 22, 1 << 20, 1 << 14
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def stretches(text: bytes, length: int, seed: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def gram_lengths(length: int) -> list[int]:
+    """Bytes of the grams of each round, up to the whole string; the last but one leaves only strings that end almost together."""
+    return sorted({GRAM, max(GRAM, length * 5 // 8), length - max(1, length // 25), length})
+
+
+def stretches(text: bytes, length: int, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """First and last string start, and the chosen hash, of each stretch of a text, and whether it may repeat itself.
 
     A stretch that holds a string twice, d bytes apart, has its hash within the first d grams of the one and the last
     d of the other, so at two places, one at the left end of a string of the stretch, one at the right end.
     """
     data, found = np.frombuffer(text, np.uint8), []
-    width = length - GRAM + 1
+    width = length - gram + 1
     for at in range(0, max(0, len(data) - length + 1), PIECE):
         part = data[at : at + PIECE + length - 1]
-        h, size = part.astype(np.uint64) + np.uint64(1 + seed), 1
-        while size < GRAM:
-            h = h[:-size] * (MIX ** np.uint64(size) | np.uint64(1)) + h[size:]
+        h, size = part.astype(np.uint64) + np.uint64(1), 1
+        while size < gram:
+            step = min(size, gram - size)  # the last two halves may overlap
+            h = h[:-step] * (MIX ** np.uint64(step) | np.uint64(1)) + h[step:]
             h ^= h >> np.uint64(29)
-            size *= 2
+            size += step
         h = h * MIX
         h ^= h >> np.uint64(32)
         # Least of each window of ``width`` hashes: of the tail of one block and the head of the next.
@@ -139,38 +149,18 @@ def spans(marked: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edges[::2].tolist(), (edges[1::2] - 1).tolist(), strict=True))
 
 
-def repeated_starts(strings: list[bytes], length: int, seed: int = 0) -> list[np.ndarray]:
-    """For each of distinct strings, which of its starts begin ``length`` bytes that stand anywhere else among them.
+def _indexed(length: int):
+    """From ``(chosen, digest, content)`` sorted by chosen to ``(chosen, digest, firsts, lasts)`` of repeated starts.
 
-    More than an index holds is split by further hashes, by which equal strings meet again.
+    No group is larger than ``BATCH``, so an index isn't either, but for the half that stood before the group came.
     """
-    if sum(map(len, strings)) <= BATCH or seed > 8:
-        return [s[: max(0, len(x) - length + 1)] >= length for x, s in zip(strings, matching_statistics(strings, length), strict=True)]
-    marks = [np.zeros(max(0, len(x) - length + 1), bool) for x in strings]
-    groups: dict[int, dict[bytes, list[tuple[int, int]]]] = {}
-    selves: set[int] = set()
-    for i, x in enumerate(strings):
-        for a, b, h, again in zip(*(c.tolist() for c in stretches(x, length, seed + 1)), strict=True):
-            groups.setdefault(h, {}).setdefault(x[a : b + length], []).append((i, a))
-            if again:
-                selves.add(h)
-    for h, parts in groups.items():
-        found = repeated_starts(list(parts), length, seed + 1) if len(parts) > 1 or h in selves else [np.zeros(len(x) - length + 1, bool) for x in parts]
-        for places, mark in zip(parts.values(), found, strict=True):
-            for i, a in places:
-                marks[i][a : a + len(mark)] |= True if len(places) > 1 else mark
-    return marks
-
-
-def _indexed(length: int):
-    """From ``(chosen, digest, content)`` sorted by chosen to ``(chosen, digest, firsts, lasts)`` of repeated starts."""
 
     def mark(groups: list[tuple[int, list[tuple[bytes, bytes]]]]) -> pa.RecordBatch:
         rows = [(h, d, x) for h, group in groups for d, x in group]
         out = []
-        for (h, d, _), found in zip(rows, repeated_starts([x for _, _, x in rows], length) if rows else [], strict=True):
-            if found.any():
-                out.append((h, d, *map(list, zip(*spans(found), strict=True))))
+        for (h, d, x), found in zip(rows, matching_statistics([x for _, _, x in rows], length) if rows else [], strict=True):
+            if (marked := found[: len(x) - length + 1] >= length).any():
+                out.append((h, d, *map(list, zip(*spans(marked), strict=True))))
         columns = list(zip(*out, strict=True)) if out else [[]] * 4
         kinds = (pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()))
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["chosen", "digest", "firsts", "lasts"])
@@ -191,53 +181,93 @@ def _indexed(length: int):
     return run
 
 
-def dedup_spans(docs: DataFrame, length: int) -> DataFrame:
-    """``(doc_id, text_hash, from, to)``: removed bytes of each row of ``docs(doc_id, text_hash, text)``, parts may overlap."""
+def _stretched(docs: DataFrame, length: int, gram: int) -> DataFrame:
+    """``(a, b, first, last, chosen, again, digest)`` of the stretches of ``docs(a, b, text)``, ``ROWS`` at a time.
 
-    def cut(texts: list[bytes]) -> dict[str, list]:
-        rows = []
-        for text in texts:
-            first, last, chosen, again = stretches(text, length)
-            digests = [xxhash.xxh3_128_digest(text[a : b + length]) for a, b in zip(first.tolist(), last.tolist(), strict=True)]
-            rows.append({"first": first.tolist(), "last": last.tolist(), "chosen": chosen.tolist(), "again": again.tolist(), "digest": digests})
-        return {"s": pa.array(rows, pa.struct([("first", pa.list_(pa.int64())), ("last", pa.list_(pa.int64())), ("chosen", pa.list_(pa.int64())), ("again", pa.list_(pa.bool_())), ("digest", pa.list_(pa.binary()))]))}
+    Where grams are whole strings, so are the contents: a stretch is then one string over and over.
+    """
+    schema = StructType([docs.schema["a"], docs.schema["b"], *StructType.fromDDL("first bigint, last bigint, chosen bigint, again boolean, digest binary").fields])
 
-    made = map_texts(docs, "text", ["doc_id", "text_hash"], cut, "s struct<first: array<bigint>, last: array<bigint>, chosen: array<bigint>, again: array<boolean>, digest: array<binary>>")
-    each = made.select("doc_id", "text_hash", F.explode(F.arrays_zip("s.first", "s.last", "s.chosen", "s.again", "s.digest")).alias("x"))
-    table = stored(each.select("doc_id", "text_hash", *[F.col(f"x.{c}").alias(c) for c in ("first", "last", "chosen", "again", "digest")]), "stretches")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in sliced(batches):
+            held, size = [], 0
+            for i, text in enumerate(part.column(2).to_pylist()):
+                first, last, *others = stretches(text, length, gram)
+                for at in range(0, len(first), ROWS):
+                    cut = [c[at : at + ROWS] for c in (np.full(len(first), i), first, last, *others)]
+                    ends = cut[1] if gram == length else cut[2]
+                    held.append((cut, [xxhash.xxh3_128_digest(text[x : y + length]) for x, y in zip(cut[1].tolist(), ends.tolist(), strict=True)]))
+                    size += len(ends)
+                    if size >= ROWS:
+                        yield rows(part, held)
+                        held, size = [], 0
+            if held:
+                yield rows(part, held)
+
+    def rows(part: pa.RecordBatch, held: list) -> pa.RecordBatch:
+        place, *columns = (np.concatenate(c) for c in zip(*(cut for cut, _ in held), strict=True))
+        owner, digests = part.take(pa.array(place)), [d for _, found in held for d in found]
+        return pa.RecordBatch.from_arrays([owner.column(0), owner.column(1), *map(pa.array, columns), pa.array(digests, pa.binary())], names=schema.names)
+
+    return docs.select("a", "b", F.col("text").cast("binary").alias("text")).mapInArrow(run, schema)
+
+
+def dedup_spans(docs: DataFrame, length: int, batch: int = BATCH, step: int = 0) -> DataFrame:
+    """``(a, b, from, to)``: removed bytes of each row of ``docs(a, b, text)``, parts may overlap; ``(a, b)`` is its key.
+
+    Groups of more than ``batch`` bytes go to the next of the ``gram_lengths``.
+    """
+    gram = gram_lengths(length)[step]
+    table = stored(_stretched(docs, length, gram), "stretches")
+    ranges = [F.col("first").alias("from"), (F.col("last") + length).alias("to")]
+    if gram == length:
+        copies = table.groupBy("chosen", "digest").agg(F.sum(F.col("last") - F.col("first") + 1).alias("n")).where("n > 1")
+        return table.join(copies, ["chosen", "digest"]).select("a", "b", *ranges)
     # Contents of each hash, each with its number and one place where it stands.
-    contents = table.groupBy("chosen", "digest").agg(F.count("*").alias("n"), F.bool_or("again").alias("again"), F.min(F.struct("doc_id", "text_hash", "first", "last")).alias("at"))
+    contents = table.groupBy("chosen", "digest").agg(F.count("*").alias("n"), F.bool_or("again").alias("again"), F.min(F.struct("a", "b", "first", "last")).alias("at"))
     contents = stored(contents, "contents")
-    mixed = contents.groupBy("chosen").agg(F.count("*").alias("kinds"), F.bool_or("again").alias("again")).where("kinds > 1 or again").select("chosen")
-    wanted = stored(contents.join(mixed, "chosen").select("chosen", "digest", "at.*"), "wanted")
-    places = wanted.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("chosen", "digest", "first", "last")).alias("places"))
-    places = places.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "places")
-    joined = docs.join(places, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
-    # Rows that repeat doc_id and text give the same content; one of them is enough.
-    part = F.expr(f"transform(places, p -> struct(p.chosen as chosen, p.digest as digest, substring(cast(text as binary), cast(p.first + 1 as int), cast(p.last - p.first + {length} as int)) as content))")
-    strings = joined.select(F.explode(part).alias("p")).select("p.*").dropDuplicates(["chosen", "digest"])
-    found = strings.repartition("chosen").sortWithinPartitions("chosen").mapInArrow(_indexed(length), "chosen bigint, digest binary, firsts array<bigint>, lasts array<bigint>")
-    found = stored(found, "repeated")
+    bytes_of = F.sum(F.col("at.last") - F.col("at.first") + length)
+    mixed = contents.groupBy("chosen").agg(F.count("*").alias("kinds"), F.bool_or("again").alias("again"), (bytes_of > batch).alias("large"))
+    mixed = mixed.where("kinds > 1 or again").select("chosen", "large")
+    wanted = stored(contents.join(mixed, "chosen").select("chosen", "digest", "at.*", "large"), "wanted")
+
+    def strings(of: DataFrame) -> DataFrame:
+        places = of.groupBy("a", "b").agg(F.collect_list(F.struct("chosen", "digest", "first", "last")).alias("places"))
+        places = places.select(F.col("a").alias("_a"), F.col("b").alias("_b"), "places")
+        joined = docs.join(places, F.col("a").eqNullSafe(F.col("_a")) & (F.col("b") == F.col("_b")))
+        # Rows that repeat key and text give the same content; one of them is enough.
+        part = F.expr(f"transform(places, p -> struct(p.chosen as chosen, p.digest as digest, substring(cast(text as binary), cast(p.first + 1 as int), cast(p.last - p.first + {length} as int)) as content))")
+        return joined.select(F.explode(part).alias("p")).select("p.*").dropDuplicates(["chosen", "digest"])
+
+    found = strings(wanted.where("not large")).repartition("chosen").sortWithinPartitions("chosen")
+    found = found.mapInArrow(_indexed(length), "chosen bigint, digest binary, firsts array<bigint>, lasts array<bigint>")
+    found = stored(found, "repeated").select("chosen", "digest", F.explode(F.arrays_zip("firsts", "lasts")).alias("y"))
+    found = found.select("chosen", "digest", F.col("y.firsts").alias("from"), (F.col("y.lasts") + length).alias("to"))
+    if not wanted.where("large").isEmpty():
+        rest = stored(strings(wanted.where("large")), "large")
+        more = dedup_spans(rest.select(F.col("chosen").alias("a"), F.col("digest").alias("b"), F.col("content").alias("text")), length, batch, step + 1)
+        found = found.union(more.select(F.col("a").alias("chosen"), F.col("b").alias("digest"), "from", "to"))
     copies = contents.where("n > 1").select("chosen", "digest")
-    whole = table.join(copies, ["chosen", "digest"]).select("doc_id", "text_hash", F.col("first").alias("from"), (F.col("last") + length).alias("to"))
-    within = table.join(found, ["chosen", "digest"]).select("doc_id", "text_hash", "first", F.explode(F.arrays_zip("firsts", "lasts")).alias("y"))
-    within = within.select("doc_id", "text_hash", (F.col("first") + F.col("y.firsts")).alias("from"), (F.col("first") + F.col("y.lasts") + length).alias("to"))
+    whole = table.join(copies, ["chosen", "digest"]).select("a", "b", *ranges)
+    within = table.join(found, ["chosen", "digest"]).select("a", "b", (F.col("first") + F.col("from")).alias("from"), (F.col("first") + F.col("to")).alias("to"))
     return whole.union(within)
 
 
-def remove_repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id", length: int = 400) -> DataFrame:
+def remove_repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id", length: int = 400, batch: int = BATCH) -> DataFrame:
     """For each row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and kept (the remaining bytes).
 
     A byte is removed if a string of ``length`` bytes that covers it starts anywhere else too; texts are judged as
     they came.  NULL texts are empty, texts shorter than ``length`` stay whole.  Rows that repeat are copies of each
-    other; NULL ids are kept, an empty table gives an empty one, further columns are not read.
+    other; NULL ids are kept, an empty table gives an empty one, further columns are not read.  An index holds ``batch``
+    bytes; the result is the same for any.
     """
     if length < 2 * GRAM:
         raise ValueError(f"length must be at least {2 * GRAM}")
     own = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     own = own.withColumn("text_hash", F.xxhash64("text"))
-    removed = dedup_spans(own, length).groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("from", "to")).alias("spans"))
-    removed = removed.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "spans")
+    keyed = own.select(F.col("doc_id").alias("a"), F.col("text_hash").alias("b"), "text")
+    removed = dedup_spans(keyed, length, batch).groupBy("a", "b").agg(F.collect_list(F.struct("from", "to")).alias("spans"))
+    removed = removed.select(F.col("a").alias("_id"), F.col("b").alias("_hash"), "spans")
     both = own.join(removed, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")), "left").select("doc_id", "text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
