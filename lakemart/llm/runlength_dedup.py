@@ -206,8 +206,8 @@ def _stretched(docs: DataFrame, length: int, gram: int) -> DataFrame:
 
     def rows(part: pa.RecordBatch, held: list) -> pa.RecordBatch:
         place, *columns = (np.concatenate(c) for c in zip(*(cut for cut, _ in held), strict=True))
-        owner, digests = part.take(pa.array(place)), [d for _, found in held for d in found]
-        return pa.RecordBatch.from_arrays([owner.column(0), owner.column(1), *map(pa.array, columns), pa.array(digests, pa.binary())], names=schema.names)
+        owner, digests = pa.array(place), [d for _, found in held for d in found]
+        return pa.RecordBatch.from_arrays([part.column(0).take(owner), part.column(1).take(owner), *map(pa.array, columns), pa.array(digests, pa.binary())], names=schema.names)
 
     return docs.select("a", "b", F.col("text").cast("binary").alias("text")).mapInArrow(run, schema)
 
