@@ -2,9 +2,11 @@
 
 import hashlib
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
@@ -199,14 +201,95 @@ def test_pipeline_stage_by_stage(spark, small):
     assert all(hashlib.sha256(r["ids"]).hexdigest() == r["ids_sha256"] and len(r["ids"]) == 4 * r["n_tokens"] for r in found.collect())
 
 
+# The pipeline in plain Python
+
+
+def plain_statistics(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    windows = Counter(tuple(words[i : i + 8]) for i in range(len(words) - 7))
+    again = {i + k for i in range(len(words) - 7) if windows[tuple(words[i : i + 8])] > 1 for k in range(8)}
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    upper, letters = len(re.findall("[A-Z]", text)), len(re.findall("[A-Za-z]", text))
+    twins = sum(a == b for a, b in zip(words, words[1:], strict=False))
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(again), len(lines), upper, letters, twins
+
+
+def plain_anomaly(forest, row):
+    total = 0
+    for feature, cut, left, path in forest.trees:
+        node = 0
+        while feature[node] >= 0:
+            node = left[node] + (1 if row[feature[node]] >= cut[node] else 0)
+        total += path[node]
+    return 2 ** (-total / len(forest.trees) / forest.usual)
+
+
+def plain_good(docs, model):
+    for doc in docs:
+        n, chars, symbols, dup, repeats, lines, upper, letters, twins = plain_statistics(doc["text"] or "")
+        if n < 20 or 100 * repeats > 30 * n:
+            continue
+        rates = [min(symbols / n, 1), dup / max(lines, 1), repeats / n, upper / max(letters, 1), twins / n]
+        if plain_anomaly(model.forest, [float(np.log1p(chars / n)), *(float(np.sqrt(x)) for x in rates)]) < model.threshold:
+            yield doc
+
+
+def plain_print(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
+    parts = [" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))] if words else []
+    hashes = [xxhash.xxh64_intdigest(x.encode(), 42) for x in parts]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def plain_single(docs):
+    prints, least = {d["doc_id"]: plain_print(d["text"]) for d in docs}, {d["doc_id"]: d["doc_id"] for d in docs}
+    links = [(a, b) for a in prints for b in prints if a < b and (prints[a] ^ prints[b]).bit_count() <= 4]
+    for _ in links:
+        before = dict(least)
+        for a, b in links:
+            least[a] = least[b] = min(least[a], least[b])
+        if before == least:
+            break
+    return [d for d in docs if least[d["doc_id"]] == d["doc_id"]]
+
+
+def test_pipeline_equals_plain_python(spark, small, tmp_path):
+    from tokenizers import Tokenizer
+
+    # Sources of very different sizes, near copies, secrets and junk beside the given documents.
+    given = spark.read.parquet(f"{small}/documents.parquet")
+    docs, base = given.collect(), max(r["doc_id"] for r in given.collect())
+    make = lambda i, like, text, source: {**docs[like].asDict(), "doc_id": base + i, "text": text, "source": source, "n_chars": len(text)}
+    long = [i for i, r in enumerate(docs) if len((r["text"] or "").split()) > 120]
+    rows = [r.asDict() for r in docs]
+    rows += [make(1 + i, long[i], docs[long[i]]["text"] + " end", "copies") for i in range(12)]
+    rows += [make(20 + i, long[12 + i], f"{docs[long[12 + i]]['text']} key {SECRETS[0]} and password={SECRETS[1]} then", "rare") for i in range(3)]
+    rows += [make(40, 0, "too short", "rare"), make(41, 0, "", "one"), make(42, 0, "same words here " * 60, None)]
+    given.sparkSession.createDataFrame(rows, given.schema).write.parquet(f"{tmp_path}/documents.parquet")
+    labels = spark.read.parquet(f"{small}/labels.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+
+    known = quality_forest.with_statistics(spark.createDataFrame(rows, given.schema).select("doc_id", "text"), "text", ["doc_id"])
+    good = list(plain_good(rows, quality_forest.fit(known, labels)))
+    single = plain_single(good)
+    assert len(rows) > len(good) > len(single) > 100
+    tokenizer, want = Tokenizer.from_file(corpus_pipeline.WORD_VOCABULARY), {}
+    for d in single:
+        text = re.sub(r'AKIA[A-Z0-9]{16}|(?<=password=)[0-9a-f]{18}|(?<=token = ")[0-9a-f]{40}', secret_forest.MASK, d["text"])
+        ids = tokenizer.encode(text, add_special_tokens=False).ids
+        decoded = tokenizer.decode(ids, skip_special_tokens=False)
+        want[d["doc_id"]] = (d["lang"], d["source"], len(ids), np.array(ids, "<u4").tobytes(), hashlib.sha256(decoded.encode()).hexdigest())
+    found = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert len(found) == len(want)
+    assert {r["doc_id"]: (r["lang"], r["source"], r["n_tokens"], bytes(r["ids"]), r["decoded_sha256"]) for r in found} == want
+
+
 def test_all_are_registered():
     names = contract.queries()
     assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)) and "pipeline" in names
 
 
 def test_queries_equal_their_sql(spark, small):
-    from collections import Counter
-
     from checks.compare import connect
     from lakemart.llm.queries import ORACLES, QUERIES
 
