@@ -32,17 +32,23 @@ class Order:
         return value.desc_nulls_first() if self.descending else value.asc_nulls_last()
 
     def ascending_keys(self, df: DataFrame) -> list[Column]:
-        """Columns whose ascending order is this order; descending ones of numbers, dates and times only."""
+        """Columns whose ascending order is this order; descending ones of numbers, dates, times, strings and bytes only.
+
+        A falling string becomes the complement of its bytes; the letter behind it puts it after what it begins.
+        """
         value, kind = F.col(self.column), df.schema[self.column].dataType
         if isinstance(kind, T.DateType):
             value = F.unix_date(value)
         elif isinstance(kind, T.TimestampType | T.TimestampNTZType):
             value = F.unix_micros(value.cast("timestamp"))
-        elif self.descending and not isinstance(kind, T.NumericType):
+        turned = -value if isinstance(kind, T.NumericType | T.DateType | T.TimestampType | T.TimestampNTZType) else None
+        if isinstance(kind, T.BinaryType) or isinstance(kind, T.StringType) and kind.collation == "UTF8_BINARY":
+            turned = F.concat(F.translate(F.hex(value), "0123456789ABCDEF", "FEDCBA9876543210"), F.lit("G"))
+        if self.descending and turned is None:
             raise TypeError(f"{self.column}: a falling order of {kind.simpleString()} has no distributed form")
         is_null = value.isNull()
         null_rank = ~is_null if self.descending else is_null
-        return [null_rank.cast("int").alias("null_rank"), (-value if self.descending else value).alias("value")]
+        return [null_rank.cast("int").alias("null_rank"), (turned if self.descending else value).alias("value")]
 
     def key(self, df: DataFrame, unique: str) -> Column:
         """A totally ordered key: this order, ties broken by a column that is unique."""

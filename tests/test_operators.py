@@ -103,7 +103,18 @@ def test_falling_strings(spark):
     got = {r["k"]: r["r"] for r in rank_within(df.withColumn("g", F.lit(1)), "g", Order("k", descending=True), "r").collect()}
     assert got == {None: 1, "c": 2, "b": 3, "a": 4}
     with pytest.raises(TypeError, match="falling"):
-        ntile_global(df, 2, {"t": Order("k", descending=True)}, "k", single_task_rows=1)
+        ntile_global(df.withColumn("f", F.col("k") == "a"), 2, {"t": Order("f", descending=True)}, "k", single_task_rows=1)
+
+
+def test_falling_strings_over_ranges(spark):
+    words = ["", "a", "ab", "abc", "b", "B", "a\x00", "z", "é", "日本", "\U0001f600", "\uffff", None, "~", "ab "]
+    df = spark.createDataFrame([(i, i % 2, words[i * 7 % 15]) for i in range(200)], "id int, g int, k string")
+    order, by = Order("k", descending=True), F.col("k").desc_nulls_first()
+    for column in (df, df.withColumn("k", F.col("k").cast("binary"))):
+        ranks = rank_by_ranges(column, "g", order, "r", 4).select("id", "r")
+        assert sorted(ranks.collect()) == sorted(column.select("id", F.rank().over(Window.partitionBy("g").orderBy(by)).alias("r")).collect())
+        tiles = ntile_global(column, 7, {"t": order}, "id", single_task_rows=5).select("id", "t")
+        assert sorted(tiles.collect()) == sorted(column.select("id", F.ntile(7).over(Window.orderBy(by, "id")).alias("t")).collect())
 
 
 @pytest.mark.parametrize("limit", [3, 50, 10_000])
