@@ -36,11 +36,15 @@ def in_target_shares(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document (little-endian unsigned 32-bit integers), with digests of them and of their decoding."""
-    found = token_automaton.encode_decode(docs.select("doc_id", "lang", "source", "text"), WORD_VOCABULARY, "text", ["doc_id", "lang", "source"])
-    return found.select(
-        "doc_id", "lang", "source", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
-    )
+    """Token ids of every document (little-endian unsigned 32-bit integers), with digests of them and of their decoding, and
+    their place in the stream of the mix: ``place`` (documents before it) and ``start`` (their ids).
+
+    ``docs`` is read from files, whose order is that of the mix.
+    """
+    keep = ["doc_id", "lang", "source", "_part", "_row"]
+    found = token_automaton.encode_decode(source_mixing.in_file_order(docs).select(*keep, "text"), WORD_VOCABULARY, "text", keep)
+    found = found.select(*keep, "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return source_mixing.streamed(stored(found, "encoded"), "n_tokens")
 
 
 STAGES = [

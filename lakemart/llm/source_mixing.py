@@ -24,6 +24,8 @@ from lakemart.llm.texts import fresh_name
 
 #: Slots of a period, and sources with slots of their own: the smaller ones share theirs.
 MOST_SLOTS, MOST_SOURCES = 100_000, 2_000
+#: Columns that the mix adds.
+PLACE = ["block", "slot", "release", "deadline", "in_mix"]
 #: Least slots of a period whose weights are given or capped.
 FEWEST_SLOTS = 1000
 
@@ -79,8 +81,7 @@ def mix(docs: DataFrame, weights: dict | None = None, source: str = "source", ca
     Repeated rows are places of their own; an empty table gives an empty one.  Columns named like the new ones are replaced.
     """
     spark = docs.sparkSession
-    new = ["block", "slot", "release", "deadline", "in_mix"]
-    columns = [c for c in docs.columns if c.lower() not in new]
+    columns = [c for c in docs.columns if c.lower() not in PLACE]
     sizes = docs.groupBy(F.col(f"`{source}`").cast("string").alias("s")).agg(F.count(F.lit(1)).alias("n"))
     if weights is None:
         found = sizes.orderBy(F.desc("n"), "s").limit(most_sources).collect()
@@ -130,6 +131,28 @@ def mix(docs: DataFrame, weights: dict | None = None, source: str = "source", ca
     )
 
 
-def mixed(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that the mix takes, in files that follow its order; all columns unchanged."""
-    return mix(docs, **options).where("in_mix").repartitionByRange("slot").sortWithinPartitions("slot").select(*[F.col(f"`{c}`") for c in docs.columns])
+def mixed(docs: DataFrame, seed: int = 2, **options) -> DataFrame:
+    """The rows of ``docs`` that the mix takes, in files that follow its order; all columns unchanged.
+
+    Rows of a slot stand in the order of their block, so the order is the same on every run.
+    """
+    order = F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in docs.columns if c.lower() not in PLACE])
+    taken = mix(docs, seed=seed, **options).where("in_mix")
+    return taken.repartitionByRange("slot").sortWithinPartitions("slot", order).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def in_file_order(docs: DataFrame) -> DataFrame:
+    """Rows of a table read from files, with ``_part`` and ``_row``: the number of their file and of the row in it."""
+    return docs.select("*", F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).cast("int").alias("_part"), F.col("_metadata.row_index").alias("_row"))
+
+
+def streamed(placed: DataFrame, size: str) -> DataFrame:
+    """``placed``, a stored table with ``_part`` and ``_row``, with its place in the stream of all rows: ``place`` (rows before
+    it) and ``start`` (their ``size`` added up).  Only the totals of the files, a row each, are summed in one task."""
+    before = Window.orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
+    files = placed.groupBy(F.col("_part").alias("_of")).agg(F.count(F.lit(1)).alias("_rows"), F.sum(size).alias("_size"))
+    files = files.select("_of", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(c) for c in ("_rows", "_size")])
+    above = Window.partitionBy("_part").orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
+    own = placed.withColumns({"place": F.count(F.lit(1)).over(above), "start": F.coalesce(F.sum(size).over(above), F.lit(0))})
+    both = own.join(F.broadcast(files), F.col("_part") == F.col("_of"))
+    return both.withColumns({"place": F.col("place") + F.col("_rows"), "start": F.col("start") + F.col("_size")}).drop("_part", "_row", "_of", "_rows", "_size")

@@ -299,3 +299,21 @@ def test_queries_equal_their_sql(spark, small):
         got = QUERIES[name](spark, small)
         assert sorted(got.columns) == sorted(columns)
         assert Counter(map(tuple, got.select(*columns).collect())) == Counter(result.fetchall())
+
+
+def test_the_mix_gives_the_places_of_the_encoded_stream(spark):
+    rows = [(i, f"document {i} of " + "several words " * (i % 7), "en", "abc"[min(i % 10, 2)]) for i in range(400)] + [(7, "", None, None)] * 2
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    mixed = stored(corpus_pipeline.in_target_shares(spark, docs, ""), "mixed")
+    found = sorted(stored(corpus_pipeline.encoded(spark, mixed, ""), "encoded").collect(), key=lambda r: r["place"])
+    assert [r["place"] for r in found] == list(range(len(rows)))
+    assert [r["start"] for r in found] == [sum(r["n_tokens"] for r in found[:i]) for i in range(len(found))]
+    slots = {(r["doc_id"], r["source"]): r["slot"] for r in source_mixing.mix(docs, cap=0.25).collect()}
+    order = [slots[r["doc_id"], r["source"]] for r in found]
+    assert order == sorted(order) and [r["doc_id"] for r in found] != sorted(r["doc_id"] for r in found)
+
+
+def test_places_over_many_files(spark):
+    stream = source_mixing.streamed(spark.createDataFrame([(p, r, p + r) for p in (11, 0, 3) for r in (2, 0, 1)], "_part int, _row bigint, n bigint"), "n")
+    assert sorted((r["place"], r["start"], r["n"]) for r in stream.collect()) == [
+        (0, 0, 0), (1, 0, 1), (2, 1, 2), (3, 3, 3), (4, 6, 4), (5, 10, 5), (6, 15, 11), (7, 26, 12), (8, 38, 13)]
