@@ -18,8 +18,12 @@ from lakemart.sources.schemas import DOCUMENT_COLUMN
 
 def clean_orders(raw: DataFrame) -> DataFrame:
     """Typed orders with derived columns, before deduplication; rows without id or readable date drop out."""
+    return _derived_orders(_typed_orders(raw))
+
+
+def _typed_orders(raw: DataFrame) -> DataFrame:
     c = F.col
-    typed = raw.select(
+    return raw.select(
         "order_id",
         "customer_id",
         "product_id",
@@ -34,6 +38,10 @@ def clean_orders(raw: DataFrame) -> DataFrame:
         "_source_file",
         "_run_id",
     ).filter(c("order_id").isNotNull() & c("order_date").isNotNull())
+
+
+def _derived_orders(typed: DataFrame) -> DataFrame:
+    c = F.col
     return typed.select(
         "order_id", "customer_id", "product_id", "order_date", "order_status", "quantity", "unit_price", "discount_pct",
         measures.line_revenue(c("quantity"), c("unit_price"), c("discount_pct")).alias("line_revenue"),
@@ -95,8 +103,8 @@ def clean_web_events(raw: DataFrame) -> DataFrame:
 
 
 def stg_orders(raw: DataFrame, now: dt.datetime | None = None) -> DataFrame:
-    """C1"""
-    return _staged(clean_orders(raw), "order_id", now)
+    """C1; what follows from other columns of a row breaks no tie, so it is derived afterwards, not sorted and shuffled."""
+    return _derived_orders(latest_per_key(_typed_orders(raw), ["order_id"], "_loaded_at")).withColumn("_stg_updated_at", dates.now(now))
 
 
 def stg_customers(raw: DataFrame, as_of: dt.date | None = None, now: dt.datetime | None = None) -> DataFrame:

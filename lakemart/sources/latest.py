@@ -136,14 +136,14 @@ class LatestTable:
             return f"SELECT {listed} FROM {source} AS t{wanted}" + (f" {how} JOIN ({other}) AS n ON t.{key} <=> n.{key}" if how else "")
 
         def newest(source: str) -> str:
-            return f"SELECT {listed} FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {order}) AS _rn FROM ({source})) WHERE _rn = 1"
+            return f"SELECT {listed} FROM (SELECT *, row_number() OVER (PARTITION BY xxhash64({key}), {key} ORDER BY {order}) AS _rn FROM ({source})) WHERE _rn = 1"
 
         base = f"parquet.`{self._base(snapshot.base)}`" if snapshot.base else None
         if not snapshot.deltas:
             return {"kept": rows(base)}
         changed = rows(self._deltas(snapshot.deltas))
-        if base is None:
-            return {"winners": newest(changed)}
+        if base is None:  # a delta has one row per key
+            return {"winners": newest(changed) if len(snapshot.deltas) > 1 else changed}
         touched = f"SELECT DISTINCT {key} FROM ({changed})"
         contested = rows(base, "LEFT SEMI", touched)
         return {"kept": rows(base, "LEFT ANTI", touched), "contested": contested, "winners": newest(f"{changed} UNION ALL {contested}")}
