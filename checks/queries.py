@@ -24,7 +24,7 @@ from lakemart.sources.lake import Lake
 from lakemart.sources.loads import load_raw, read_raw
 from lakemart.streaming.hourly import add_events, compact_hourly, hourly_events, read_hourly, stream_hourly_events
 from lakemart.streaming.loads import latest_table, stream_latest, stream_raw
-from lakemart.workspace import Stored, fresh_path
+from lakemart.workspace import Stored, fresh_path, write_counted
 
 AS_OF = dt.date(2001, 12, 31)
 LOADED = dt.datetime(2001, 12, 31, 7, 0)
@@ -468,10 +468,21 @@ def stream_raw_load(spark, sf):
     return lake.table(lake.raw, "raw_orders").select(*schemas.ORDER_COLUMNS)
 
 
+#: Rows of a file that a stream finds, about: so many are written by one task.
+FILE_ROWS = 500_000
+
+
+def landed_files(spark: SparkSession, sf: str, table: str, fewest: int) -> int:
+    """Files for a stream over the rows made of ``table``; a larger table makes more files, not larger ones."""
+    rows = spark.read.parquet(f"{sf}/{table}.parquet").count()
+    return fewest * max(1, -(-rows // (fewest * FILE_ROWS)))
+
+
 @query
 def stream_load_dedup(spark, sf):
-    landed = Stored(adapter.raw(spark, sf, "orders").repartition(4), "landed")
-    arriving = spark.readStream.schema(landed.df.schema).option("maxFilesPerTrigger", 2).parquet(landed.path)
+    files = landed_files(spark, sf, "lineitem", 4)
+    landed = Stored(adapter.raw(spark, sf, "orders").repartition(files), "landed")
+    arriving = spark.readStream.schema(landed.df.schema).option("maxFilesPerTrigger", files // 2).parquet(landed.path)
     lake = new_lake(spark)
     table = latest_table(lake, "stg_orders", "order_id")
     stream_latest(arriving, staging.clean_orders, table, fresh_path(spark, "ckpt"), LOADED).awaitTermination()
@@ -483,8 +494,9 @@ def stream_events_hourly(spark, sf):
     """Later events first, a few files at a time, so that most batches hold events older than those before."""
     events = adapter.raw(spark, sf, "web_events")
     falling = events.orderBy(F.desc(casts.variant_field(F.col("raw_data"), "event_ts")))
-    landed = Stored(falling.hint("rebalance").repartition(8), "landed")
-    arriving = spark.readStream.schema(landed.df.schema).option("maxFilesPerTrigger", 2).parquet(landed.path)
+    files = landed_files(spark, sf, "events", 8)
+    landed = Stored(falling.hint("rebalance").repartition(files), "landed")
+    arriving = spark.readStream.schema(landed.df.schema).option("maxFilesPerTrigger", files // 4).parquet(landed.path)
     path = fresh_path(spark, "hourly")
     stream_hourly_events(staging.clean_web_events(arriving), path, fresh_path(spark, "ckpt")).awaitTermination()
     return read_hourly(spark, path)
@@ -574,8 +586,12 @@ def once(build: Callable[[SparkSession, str], Lake]) -> Callable[[SparkSession,
 def grown_lake(spark, sf) -> Lake:
     """A lake whose marts were made from some orders, and refreshed when the others and changed products had come."""
     lake = new_lake(spark)
-    raw, key = adapter.raw(spark, sf, "orders"), F.xxhash64("order_id", "_loaded_at", "quantity")
-    parts = [staging.clean_orders(raw.where(F.pmod(key, F.lit(8)).isin(*values))) for values in ((0, 1, 2, 3, 4), (5, 6), (7,))]
+    eighth = F.pmod(F.xxhash64("order_id", "_loaded_at", "quantity"), F.lit(8))
+    path = fresh_path(spark, "arrivals")
+    arrivals = adapter.raw(spark, sf, "orders").withColumn("_arrival", F.when(eighth <= 4, 0).when(eighth <= 6, 1).otherwise(2))
+    write_counted(arrivals, path, partition_by=["_arrival"])  # joined once for all three
+    raw = spark.read.schema(arrivals.schema).parquet(path)
+    parts = [staging.clean_orders(raw.where(F.col("_arrival") == i)) for i in range(3)]
     table = latest_table(lake, "stg_orders", "order_id")
     lake.publish(lake.stg, "stg_customers", customers(spark, sf))
     first = adapter.raw(spark, sf, "products").where("_loaded_at < '2001-01-02'")
