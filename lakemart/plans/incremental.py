@@ -77,7 +77,9 @@ class _Refresh:
         write_counted(self.lake.table(self.lake.stg, "stg_products").select(*PRODUCT_KEYS), new_products)
         found = self._changes(before, now, new_products)
         if found is None:  # nothing to start from
-            before, found = State(), (_signed(self.orders.read(now), 1), None)
+            whole = _signed(self.orders.read(now), 1)
+            resolved = len(now.deltas) + (now.base is not None) < 2
+            before, found = State(), (whole if resolved else Stored(whole, "all-lines").df, None)
         lines, moved = found
         after = State({"base": now.base, "deltas": now.deltas, "folded": now.folded}, new_products)
         after.sales, rows = self._sales(before, self._priced(lines if moved is None else lines.unionByName(moved), before.products, new_products))
