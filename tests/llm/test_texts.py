@@ -223,6 +223,15 @@ def test_repeated_bytes(spark, odd, documents, batch):
     assert Counter(map(tuple, got.drop("kept").collect())) == want
 
 
+def test_ranges_within_copies_are_not_multiplied(spark):
+    line = "".join(chr(97 + i * i % 26) + str(i * 7919) for i in range(60))
+    docs = [(i, 0, line) for i in range(30)] + [(100 + i, 0, line[:150] + f"<{i}>" + line[150:]) for i in range(3)]
+    found = runlength_dedup.dedup_spans(spark.createDataFrame(docs, "a bigint, b bigint, text string"), 100)
+    rows = Counter(r["a"] for r in found.collect())
+    stretches = len(runlength_dedup.stretches(line.encode(), 100)[0])
+    assert {rows[i] for i in range(30)} == {stretches}
+
+
 def test_matching_statistics():
     import random
 

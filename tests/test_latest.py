@@ -194,3 +194,18 @@ def test_refresh_starts_anew_where_the_old_rows_are_gone(spark, lake, staged):
     assert table.changed_keys(Snapshot(None, ("1",)), table.snapshot()) is None
     refresh_marts_from(lake, table, AS_OF)
     compare_marts(lake, table)
+
+
+def test_one_delta_is_not_sorted_again(spark, tmp_path):
+    table = LatestTable(spark, str(tmp_path / "t"), "k")
+    table.add(changes(spark, ("a", 1, 1), ("a", 2, 2), (None, 1, 3), (None, 2, 4)), "1")
+    assert "row_number" not in table.sql(table.snapshot()) and content(table.read().where("k is not null")) == [("a", 2)] and table.read().count() == 2
+
+
+def test_more_rows_make_more_landed_files(spark, tmp_path, monkeypatch):
+    from checks import queries
+
+    spark.range(1000).write.parquet(f"{tmp_path}/lineitem.parquet")
+    assert queries.landed_files(spark, str(tmp_path), "lineitem", 4) == 4
+    monkeypatch.setattr(queries, "FILE_ROWS", 50)
+    assert queries.landed_files(spark, str(tmp_path), "lineitem", 4) == 20
