@@ -10,9 +10,12 @@ from lakemart.workspace import Stored
 
 
 def _with_least(edges: DataFrame) -> DataFrame:
-    """Directed edges ``(u, v)`` with ``m``, the least of u and its neighbours; a join, so that a hub is split."""
+    """Directed edges ``(u, v)`` with ``m``, the least of u and its neighbours; a join, so that a hub is split.
+
+    A sort-merge join: both sides are dealt by u anyway, and no table of each round passes through the driver.
+    """
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    return edges.join(least, "u").select("u", "v", F.least("u", "m").alias("m"))
+    return edges.join(least.hint("merge"), "u").select("u", "v", F.least("u", "m").alias("m"))
 
 
 def components(links: DataFrame) -> DataFrame:

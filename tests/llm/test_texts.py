@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 
 from lakemart.llm import bitplane_store, license_join, quality_forest, runlength_dedup, simhash_dedup, token_automaton, toxicity_subword
-from lakemart.llm.components import components
+from lakemart.llm.components import _with_least, components
 
 WORD_FILE, BYTE_FILE = "/opt/tokenizers/word_bpe_49k.json", "/opt/tokenizers/byte_bpe_50k.json"
 
@@ -170,6 +170,12 @@ def test_components_of_paths_and_stars(spark):
     assert components(spark.createDataFrame([], "u bigint, v bigint")).count() == 0
 
 
+def test_no_round_of_components_is_broadcast(spark):
+    found = _with_least(spark.createDataFrame([(2, 1), (3, 2), (3, 9)], "u bigint, v bigint"))
+    assert sorted(map(tuple, found.collect())) == [(2, 1, 1), (3, 2, 2), (3, 9, 2)]
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 # Toxicity
 
 
