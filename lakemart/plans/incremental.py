@@ -274,11 +274,16 @@ def _typed(sums: DataFrame, keys: list[str], types: dict[str, str]) -> DataFrame
 
 
 def _added(parts: list[DataFrame], keys: list[str], types: dict[str, str], others: dict[str, Column] | None = None) -> DataFrame:
-    """Signed totals added up per key; keys that have no line left drop out."""
+    """Signed totals added up per key; keys that have no line left drop out.
+
+    Each part has a row a key, so one part alone is added up already and is not shuffled.
+    """
+    others = others or {}
+    if len(parts) == 1:
+        return _typed(parts[0], [*keys, *others], types).where(F.col("lines") != 0)
     rows = parts[0]
     for more in parts[1:]:
         rows = rows.unionByName(more)
-    others = others or {}
     sums = rows.groupBy(*keys).agg(*[e.alias(name) for name, e in others.items()], *[F.sum(name).alias(name) for name in types])
     return _typed(sums, [*keys, *others], types).where(F.col("lines") != 0)
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lakemart.operators.dedup import latest_per_key
 from lakemart.plans import marts, staging
-from lakemart.plans.incremental import refresh_marts_from
+from lakemart.plans.incremental import _added, refresh_marts_from
 from lakemart.sources.latest import LatestTable, Snapshot
 from lakemart.streaming.hourly import add_events, compact_hourly, read_hourly
 from lakemart.streaming.loads import latest_table
@@ -202,6 +202,14 @@ def test_one_delta_is_not_sorted_again(spark, tmp_path):
     assert "row_number" not in table.sql(table.snapshot()) and content(table.read().where("k is not null")) == [("a", 2)] and table.read().count() == 2
 
 
+def test_one_part_of_totals_is_not_added_again(spark):
+    part = spark.createDataFrame([("a", 2, 5, 1), (None, 1, 7, 2), ("b", 0, 0, 3)], "k string, lines bigint, units bigint, day int")
+    types, others = {"lines": "bigint", "units": "decimal(38,0)"}, {"day": F.max("day")}
+    one, two = _added([part], ["k"], types, others), _added([part, part.limit(0)], ["k"], types, others)
+    assert one.dtypes == two.dtypes and set(one.collect()) == set(two.collect()) and one.count() == 2
+    assert "Exchange" not in one._jdf.queryExecution().executedPlan().toString()
+
+
 def test_more_rows_make_more_landed_files(spark, tmp_path, monkeypatch):
     from checks import queries
 
