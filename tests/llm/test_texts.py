@@ -238,6 +238,19 @@ def test_ranges_within_copies_are_not_multiplied(spark):
     assert {rows[i] for i in range(30)} == {stretches}
 
 
+def test_ranges_of_a_shared_passage_are_not_multiplied(spark):
+    """A passage with other neighbours in each text: what the last round finds byte by byte comes as a few ranges a text."""
+    passage = "".join(chr(97 + i * i % 26) + str(i * 7919) for i in range(30))[:100]
+    docs = [(i, 0, f"{i * 104729:x} " * 20 + f"{i % 5}ab{i % 7}" + passage + f"{i % 6}cd{i % 11}" + f" {i * 7919:x}" * 20) for i in range(1, 121)]
+    found = runlength_dedup.dedup_spans(spark.createDataFrame(docs, "a bigint, b bigint, text string"), 100, batch=700).collect()
+    gone = {i: set() for i, _, _ in docs}
+    for r in found:
+        gone[r["a"]] |= set(range(r["from"], r["to"]))
+    want = removed([t.encode() for _, _, t in docs], 100)
+    assert [len(gone[i]) for i, _, _ in docs] == [n for _, n, _, _ in want]
+    assert max(Counter(r["a"] for r in found).values()) <= 6
+
+
 def test_matching_statistics():
     import random
 
