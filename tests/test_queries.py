@@ -44,3 +44,14 @@ def test_landed_arrays_are_bounded(spark, monkeypatch, indent):
     files = [r[0] for r in spark.read.text(queries.landed_array(spark, "", "any", indent), wholetext=True).collect()]
     assert max(map(len, files)) < 40_000
     assert [x for f in files for x in json.loads(f)] == [{"a": "x" * 100}] * 4000
+
+
+def test_raw_orders_meet_their_country_before_their_lines(spark, small):
+    """Spark runs the joins as they are ordered: the last one brings lines and orders together, and no row differs from the SQL."""
+    from checks import adapter
+
+    made = adapter.flat(spark, small, "orders")
+    joins = [line for line in made._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join Inner" in line]
+    assert len(joins) == 4 and "l_orderkey" in joins[0]
+    written = spark.sql(adapter.RAW_ORDERS).select(*[F.col(c).cast(made.schema[c].dataType) for c in made.columns])
+    assert written.count() > 0 and made.exceptAll(written).isEmpty() and written.exceptAll(made).isEmpty()
