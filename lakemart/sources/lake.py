@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lakemart.operators.dedup import latest_per_key
 from lakemart.sources import schemas
 from lakemart.sources.latest import new_version
-from lakemart.workspace import delete, hadoop_path, stored_bytes, write_counted
+from lakemart.workspace import delete, hadoop_path, stored_bytes, unsorted_writes, write_counted
 
 STARTED, SUCCESS, FAILED = "STARTED", "SUCCESS", "FAILED"
 
@@ -59,7 +59,8 @@ class Lake:
         """
         path = self._path(self.raw, table)
         columns = (schemas.REJECTS_SCHEMA if table == schemas.REJECTS else schemas.raw_schema(table)).fieldNames()
-        rows = write_counted(df.select(*columns), path, "overwrite", ["_run_id"], partitionOverwriteMode="dynamic")
+        with unsorted_writes(df.sparkSession):
+            rows = write_counted(df.select(*columns), path, "overwrite", ["_run_id"], partitionOverwriteMode="dynamic")
         self.spark.sql(f"ALTER TABLE {self.raw}.{table} ADD IF NOT EXISTS PARTITION (_run_id = '{run_id}')")
         self.spark.catalog.refreshTable(f"{self.raw}.{table}")
         return rows

@@ -265,3 +265,22 @@ def test_array_files_are_archived(spark, lake, tmp_path):
     (tmp_path / "drop" / "a.json").write_text('[{"event_id": "1"}, {"event_id": "2"}]')
     assert load_raw(lake, "raw_web_events", f"{tmp_path}/drop/*.json", array_files=True, archive_to=str(tmp_path / "done")) == 2
     assert (tmp_path / "done" / "a.json").exists() and not (tmp_path / "drop" / "a.json").exists()
+
+
+def test_a_run_is_written_without_a_sort(spark, lake, tmp_path, monkeypatch):
+    """All rows of a run are one partition, so there is nothing to sort them by."""
+    from lakemart.sources import lake as module
+
+    seen, write = [], module.write_counted
+
+    def watched(df, path, *args, **options):
+        seen.append(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters"))
+        return write(df, path, *args, **options)
+
+    monkeypatch.setattr(module, "write_counted", watched)
+    (tmp_path / "c.csv").write_text("customer_id,customer_name,email,phone,city,country,segment,signup_date\n" + "".join(f"C{i},n,,,,,,\n" for i in range(50)))
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    assert load_raw(lake, "raw_customers", str(tmp_path / "c.csv")) == 50
+    assert seen and all(int(n) > 0 for n in seen)
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+    assert lake.table(lake.raw, "raw_customers").count() == 50
