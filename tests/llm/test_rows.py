@@ -181,6 +181,15 @@ def test_candidates_of_a_megabyte(spark, value):
     assert secret_forest.secrets(rows).count() >= 0 and secret_forest.mask_secrets(rows).count() == 1
 
 
+def test_trees_are_case_expressions_without_brackets(spark):
+    lines = ["If (feature 0 <= 1.5)", " Predict: 0.0", "Else (feature 0 > 1.5)", " If (feature 1 <= 2.0)", "  Predict: 1.0", " Else (feature 1 > 2.0)", "  Predict: 0.25"]
+    a, b = list(secret_forest.FEATURES)[:2]
+    tree = secret_forest._sql(iter(lines))
+    assert tree == f"case when f.{a} <= 1.5D then 0.0 else case when f.{b} <= 2.0D then 1.0 else 0.25 end end"
+    rows = spark.createDataFrame([((1.0, 9.0),), ((2.0, 2.0),), ((2.0, 3.0),)], f"f struct<{a}: double, {b}: double>")
+    assert [float(r[0]) for r in rows.selectExpr(f"({tree} + {tree}) / 2").collect()] == [0.0, 1.0, 0.25]
+
+
 def test_pipeline_stage_by_stage(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     labels = spark.read.parquet(f"{small}/labels.parquet")

@@ -9,6 +9,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from lakemart import workspace
 from lakemart.llm import bitplane_store, license_join, quality_forest, runlength_dedup, simhash_dedup, token_automaton, toxicity_subword
 from lakemart.llm.components import _with_least, components
 
@@ -176,6 +177,24 @@ def test_no_round_of_components_is_broadcast(spark):
     assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
 
 
+def test_components_write_half_rounds_and_none_over_stars(spark, monkeypatch):
+    plans, write = [], workspace.write_counted
+    monkeypatch.setattr(workspace, "write_counted", lambda df, path: plans.append(df._jdf.queryExecution().executedPlan().toString()) or write(df, path))
+    stars = components(spark.createDataFrame([(3, 1), (1, 4), (9, 8)], "u bigint, v bigint"))
+    assert sorted(map(tuple, stars.collect())) == [(1, 1), (3, 1), (4, 1), (8, 8), (9, 8)] and len(plans) == 1
+    path = components(spark.createDataFrame([(i, i + 1) for i in range(9)], "u bigint, v bigint"))
+    assert {tuple(r) for r in path.collect()} == {(i, 0) for i in range(10)} and len(plans) > 2
+    assert max(plan.count("FileScan parquet") for plan in plans) == 2
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_components_of_any_links(spark, seed):
+    random = np.random.default_rng(seed)
+    links = [tuple(map(int, x)) for x in random.integers(-30, 30, (45, 2))]
+    joined = groups({x for u, v in links if u != v for x in (u, v)}, lambda a, b: (a, b) in links or (b, a) in links)
+    assert dict(map(tuple, components(spark.createDataFrame(links, "u bigint, v bigint")).collect())) == joined
+
+
 # Toxicity
 
 
