@@ -24,7 +24,7 @@ from lakemart.sources.lake import Lake
 from lakemart.sources.loads import load_raw, read_raw
 from lakemart.streaming.hourly import add_events, compact_hourly, hourly_events, read_hourly, stream_hourly_events
 from lakemart.streaming.loads import latest_table, stream_latest, stream_raw
-from lakemart.workspace import Stored, fresh_path, write_counted
+from lakemart.workspace import Stored, delete, fresh_path, write_counted
 
 AS_OF = dt.date(2001, 12, 31)
 LOADED = dt.datetime(2001, 12, 31, 7, 0)
@@ -591,16 +591,17 @@ def grown_lake(spark, sf) -> Lake:
     arrivals = adapter.raw(spark, sf, "orders").withColumn("_arrival", F.when(eighth <= 4, 0).when(eighth <= 6, 1).otherwise(2))
     write_counted(arrivals, path, partition_by=["_arrival"])  # joined once for all three
     raw = spark.read.schema(arrivals.schema).parquet(path)
-    parts = [staging.clean_orders(raw.where(F.col("_arrival") == i)) for i in range(3)]
+    parts = [staging.typed_orders(raw.where(F.col("_arrival") == i)) for i in range(3)]
     table = latest_table(lake, "stg_orders", "order_id")
     lake.publish(lake.stg, "stg_customers", customers(spark, sf))
     first = adapter.raw(spark, sf, "products").where("_loaded_at < '2001-01-02'")
     lake.publish(lake.stg, "stg_products", staging.stg_products(first).where(F.crc32(F.col("product_id").cast("binary")) % 9 != 0))
-    table.add(parts[0], "first")
+    table.add(parts[0], "first", staging.derived_orders)
     refresh_marts_from(lake, table, AS_OF)
-    table.add(parts[1], "second")
+    table.add(parts[1], "second", staging.derived_orders)
     table.compact()
-    table.add(parts[2], "third")
+    table.add(parts[2], "third", staging.derived_orders)
+    delete(spark, path)  # all arrivals are in the log
     lake.publish(lake.stg, "stg_products", products(spark, sf))
     refresh_marts_from(lake, table, AS_OF)
     return lake

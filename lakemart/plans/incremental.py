@@ -10,6 +10,7 @@ their new version.  Old versions are subtracted from stored totals and new ones
 
 Scores, ranks and anomaly flags compare all customers, products and days, so those marts are made anew from the totals;
 orders are not read for them.  A refresh whose starting point is not there any more starts from all orders, by the same way.
+Where much has changed, the log is resolved once, with a mark on the changed orders, for all that looks at orders.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from lakemart.sources.lake import Lake
 from lakemart.sources.latest import LatestTable, Snapshot, new_version
 from lakemart.workspace import Stored, complete_folders, delete, file_names, read_text, scratch, write_counted, write_text
 
-MONTH, SIGN = "order_month", "_sign"
+MONTH, SIGN, CHANGED = "order_month", "_sign", "_changed"
 PRODUCT_KEYS = ["product_id", "category", "sub_category", "unit_cost"]
 #: Additive measures of the multiset, with their types.
 SALES_SUMS = {
@@ -68,6 +69,7 @@ class _Refresh:
         self.lake, self.spark, self.orders = lake, lake.spark, orders
         self.folder = lake.log_folder(lake.marts, "totals")
         self.version = new_version()
+        self.whole: DataFrame | None = None  # all lines as of now, if they were stored
 
     def run(self, as_of: dt.date | None, keep: int) -> dict[str, int | None]:
         states = file_names(self.spark, f"{self.folder}/states")
@@ -102,18 +104,31 @@ class _Refresh:
         if keys is None:
             return None
         keys = Stored(keys, "changed-keys").df
-        lines = _signed(self.orders.read(now, keys), 1)
-        if not old.empty:
-            lines = lines.unionByName(_signed(self.orders.read(old, keys), -1))
-        lines = Stored(lines, "changed-lines").df
+        if self.orders.many_changed(old, now):
+            marked = Stored(_signed(self.orders.marked(now, keys, CHANGED), 1, CHANGED), "all-lines").df
+            self.whole = marked.drop(CHANGED)
+            lines, stay = (marked.where(which).drop(CHANGED) for which in (F.col(CHANGED), ~F.col(CHANGED)))
+            if not old.empty:
+                lines = lines.unionByName(Stored(_signed(self._replaced(old, keys), -1), "replaced-lines").df)
+        else:
+            lines = _signed(self.orders.read(now, keys), 1)
+            if not old.empty:
+                lines = lines.unionByName(_signed(self.orders.read(old, keys), -1))
+            lines = Stored(lines, "changed-lines").df
+            stay = _signed(self.orders.read(now).join(keys, self.orders.key, "left_anti"), 1)
         was, is_now = (self.spark.read.parquet(path) for path in (before.products, new_products))
         products = Stored(was.exceptAll(is_now).unionByName(is_now.exceptAll(was)).select("product_id").distinct(), "changed-products")
         if not products.rows or old.empty:
             return lines, None
-        same = marts.completed(self.orders.read(now)).join(keys, self.orders.key, "left_anti").join(products.df, "product_id", "left_semi")
-        same = Stored(_signed(same, 1), "moved-lines").df
+        same = Stored(marts.completed(stay).join(products.df, "product_id", "left_semi"), "moved-lines").df
         return lines, same.unionByName(same.withColumn(SIGN, -F.col(SIGN)))
 
+    def _replaced(self, old: Snapshot, keys: DataFrame) -> DataFrame:
+        """The orders as of ``old`` whose key is among many ``keys``."""
+        if len(old.deltas) + (old.base is not None) == 1:  # nothing to resolve
+            return self.orders.read(old, keys)
+        return self.orders.marked(old, keys, CHANGED).where(CHANGED)
+
     def _priced(self, lines: DataFrame, old_products: str | None, new_products: str) -> DataFrame:
         """Completed lines with the product attributes of their time."""
         done = marts.completed(lines)
@@ -174,7 +189,8 @@ class _Refresh:
         anew = Stored(anew, "customers-anew")
         parts = [known, change.df.drop("last_gone", "first_gone")]
         if anew.rows:
-            own = marts.completed(_signed(self.orders.read(now), 1)).join(anew.df, "customer_id", "left_semi")
+            own = self.whole if self.whole is not None else _signed(self.orders.read(now), 1)
+            own = marts.completed(own).join(anew.df, "customer_id", "left_semi")
             again = _typed(own.groupBy("customer_id").agg(
                 F.max("order_date").alias("last_date"), F.min("order_date").alias("first_date"),
                 F.sum(sign).alias("lines"), _total(c("line_revenue")).alias("revenue"), _present(c("line_revenue")).alias("priced"),
@@ -253,10 +269,10 @@ SALES_COLUMNS = [
 ]
 
 
-def _signed(orders: DataFrame, sign: int) -> DataFrame:
-    """The columns that marts look at, with a sign."""
+def _signed(orders: DataFrame, sign: int, *more: str) -> DataFrame:
+    """The columns that marts look at and ``more`` ones, with a sign."""
     names = ("order_id", "customer_id", "product_id", "order_date", "order_status", "shipping_country", "quantity", "line_revenue", "is_discounted")
-    return orders.select(*names, F.lit(sign).alias(SIGN))
+    return orders.select(*names, *more, F.lit(sign).alias(SIGN))
 
 
 def _total(value: Column) -> Column:

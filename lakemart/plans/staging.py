@@ -18,10 +18,11 @@ from lakemart.sources.schemas import DOCUMENT_COLUMN
 
 def clean_orders(raw: DataFrame) -> DataFrame:
     """Typed orders with derived columns, before deduplication; rows without id or readable date drop out."""
-    return _derived_orders(_typed_orders(raw))
+    return derived_orders(typed_orders(raw))
 
 
-def _typed_orders(raw: DataFrame) -> DataFrame:
+def typed_orders(raw: DataFrame) -> DataFrame:
+    """Orders with the columns that come from the raw ones; rows without id or readable date drop out."""
     c = F.col
     return raw.select(
         "order_id",
@@ -40,7 +41,8 @@ def _typed_orders(raw: DataFrame) -> DataFrame:
     ).filter(c("order_id").isNotNull() & c("order_date").isNotNull())
 
 
-def _derived_orders(typed: DataFrame) -> DataFrame:
+def derived_orders(typed: DataFrame) -> DataFrame:
+    """Typed orders with the columns that follow from the others of a row."""
     c = F.col
     return typed.select(
         "order_id", "customer_id", "product_id", "order_date", "order_status", "quantity", "unit_price", "discount_pct",
@@ -104,7 +106,7 @@ def clean_web_events(raw: DataFrame) -> DataFrame:
 
 def stg_orders(raw: DataFrame, now: dt.datetime | None = None) -> DataFrame:
     """C1; what follows from other columns of a row breaks no tie, so it is derived afterwards, not sorted and shuffled."""
-    return _derived_orders(latest_per_key(_typed_orders(raw), ["order_id"], "_loaded_at")).withColumn("_stg_updated_at", dates.now(now))
+    return derived_orders(latest_per_key(typed_orders(raw), ["order_id"], "_loaded_at")).withColumn("_stg_updated_at", dates.now(now))
 
 
 def stg_customers(raw: DataFrame, as_of: dt.date | None = None, now: dt.datetime | None = None) -> DataFrame:

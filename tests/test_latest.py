@@ -1,16 +1,19 @@
 import datetime as dt
 import random
+import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from lakemart.operators.dedup import latest_per_key
 from lakemart.plans import marts, staging
+from lakemart.sources import latest
 from lakemart.plans.incremental import _added, refresh_marts_from
 from lakemart.sources.latest import LatestTable, Snapshot
 from lakemart.streaming.hourly import add_events, compact_hourly, read_hourly
 from lakemart.streaming.loads import latest_table
-from lakemart.workspace import complete_folders, file_names, stored_bytes
+from lakemart.workspace import Stored, complete_folders, file_names, stored_bytes
 
 COLUMNS = "k string, _loaded_at timestamp_ntz, v int"
 
@@ -217,3 +220,67 @@ def test_more_rows_make_more_landed_files(spark, tmp_path, monkeypatch):
     assert queries.landed_files(spark, str(tmp_path), "lineitem", 4) == 4
     monkeypatch.setattr(queries, "FILE_ROWS", 50)
     assert queries.landed_files(spark, str(tmp_path), "lineitem", 4) == 20
+
+
+def test_shuffle_files_go_with_the_write(spark, tmp_path):
+    """The disk of a refresh holds the shuffle of one statement, not those of all before it."""
+    dirs = [d.getPath() for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    files = lambda: {f for d in dirs for f in Path(d).rglob("shuffle_*")}
+    before, setting = files(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    stored = Stored(spark.range(5000).groupBy((F.col("id") % 3000).alias("k")).agg(F.count("*").alias("n")), "counted")
+    for _ in range(50):  # files are removed in the background
+        if not files() - before:
+            break
+        time.sleep(0.2)
+    assert not files() - before and stored.rows == stored.df.count() == 3000
+    assert spark.conf.get(setting, "false") == "false"
+
+
+def test_many_changes_are_read_in_one_shuffle(spark, tmp_path):
+    table = LatestTable(spark, str(tmp_path / "t"), "k")
+    rows = lambda ids, v: spark.createDataFrame([(f"k{i}", dt.datetime(2024, 1, 1 + v), v) for i in ids] + [(None, dt.datetime(2024, 1, 1 + v), v)], COLUMNS)
+    table.add(rows(range(400), 0), "a")
+    old = table.snapshot()
+    table.compact()
+    table.add(rows(range(300, 500), 1), "b")
+    table.add(rows(range(450, 520), 2), "c")
+    assert table.many_changed(old, table.snapshot())
+    want = {**{f"k{i}": 0 for i in range(300)}, **{f"k{i}": 1 for i in range(300, 450)}, **{f"k{i}": 2 for i in range(450, 520)}, None: 2}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        read, keys = table.read(), table.changed_keys(old, table.snapshot()).union(spark.createDataFrame([("nobody",)], "k string"))
+        marked = table.marked(table.snapshot(), keys, "seen")
+        for df, shuffles in ((read, 1), (table.marked(table.snapshot(), Stored(keys, "keys").df, "seen"), 1)):
+            assert df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == shuffles
+        assert read.count() == len(want) and {r["k"]: r["v"] for r in read.collect()} == want
+        assert marked.columns == [*read.columns, "seen"] and {r["k"]: r["v"] for r in marked.collect()} == want
+        assert {r["k"] for r in marked.where("seen").collect()} == {None, *(f"k{i}" for i in range(300, 520))}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("many", [0, 1e9])
+def test_few_and_many_changes_give_the_same_marts(spark, lake, staged, monkeypatch, many):
+    monkeypatch.setattr(latest, "MANY", many)
+    rows, publish = staged
+    draw = random.Random(3)
+    table = latest_table(lake, "stg_orders", "order_id")
+    table.add(some_orders(spark, draw, 80, 1), "1")
+    refresh_marts_from(lake, table, AS_OF)
+    table.compact()
+    table.add(some_orders(spark, draw, 30, 2), "2")
+    refresh_marts_from(lake, table, AS_OF)
+    table.add(some_orders(spark, draw, 20, 3), "3")
+    publish([(*rows[0][:2], "c9", *rows[0][3:]), *rows[2:]])
+    refresh_marts_from(lake, table, AS_OF)  # its old state is a base and a delta
+    compare_marts(lake, table)
+
+
+def test_derived_columns_break_no_tie(spark, tmp_path):
+    table = LatestTable(spark, str(tmp_path / "t"), "k")
+    seen = []
+    derive = lambda rows: seen.append(rows.columns) or rows.withColumn("half", F.col("v") / 2)
+    table.add(changes(spark, ("a", 1, 3), ("a", 1, 5), ("b", 2, 4)), "1", derive)
+    assert seen == [["k", "_loaded_at", "v"]]
+    assert {(r["k"], r["v"], r["half"]) for r in table.read().collect()} == {("a", 5, 2.5), ("b", 4, 2.0)}
