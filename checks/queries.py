@@ -24,7 +24,7 @@ from lakemart.sources.lake import Lake
 from lakemart.sources.loads import load_raw, read_raw
 from lakemart.streaming.hourly import add_events, compact_hourly, hourly_events, read_hourly, stream_hourly_events
 from lakemart.streaming.loads import latest_table, stream_latest, stream_raw
-from lakemart.workspace import Stored, delete, fresh_path, write_counted
+from lakemart.workspace import Stored, delete, file_names, fresh_path, move, unsorted_writes, write_counted
 
 AS_OF = dt.date(2001, 12, 31)
 LOADED = dt.datetime(2001, 12, 31, 7, 0)
@@ -478,14 +478,29 @@ def landed_files(spark: SparkSession, sf: str, table: str, fewest: int) -> int:
     return fewest * max(1, -(-rows // (fewest * FILE_ROWS)))
 
 
+def dealt(raw: DataFrame, drops: int) -> list[str]:
+    """Folders with the rows dealt one by one, in files of ``FILE_ROWS`` at most; a drop without rows has none.
+
+    Each task writes to all of them: dealing by a shuffle would send every row as a whole once more.
+    """
+    path = fresh_path(raw.sparkSession, "dealt")
+    with unsorted_writes(raw.sparkSession, drops):
+        rows = raw.withColumn("drop", F.pmod(F.monotonically_increasing_id(), F.lit(drops)))
+        write_counted(rows, path, partition_by=["drop"], maxRecordsPerFile=str(FILE_ROWS))
+    return [f"{path}/{name}" for name in file_names(raw.sparkSession, path) if name.startswith("drop=")]
+
+
 @query
 def stream_load_dedup(spark, sf):
-    files = landed_files(spark, sf, "lineitem", 4)
-    landed = Stored(adapter.raw(spark, sf, "orders").repartition(files), "landed")
-    arriving = spark.readStream.schema(landed.df.schema).option("maxFilesPerTrigger", files // 2).parquet(landed.path)
-    lake = new_lake(spark)
+    """Two drops that hold every other row; the stream is called when each has come, and goes on from its checkpoint."""
+    raw, lake, arrived, checkpoint = adapter.raw(spark, sf, "orders"), new_lake(spark), fresh_path(spark, "arrived"), fresh_path(spark, "ckpt")
+    write_counted(raw.limit(0), f"{arrived}/none")
+    arriving = spark.readStream.schema(raw.schema).parquet(f"{arrived}/*")
     table = latest_table(lake, "stg_orders", "order_id")
-    stream_latest(arriving, staging.clean_orders, table, fresh_path(spark, "ckpt"), LOADED).awaitTermination()
+    for drop, landed in enumerate(dealt(raw, 2) or [f"{arrived}/none"]):
+        move(spark, landed, f"{arrived}/{drop}")
+        stream_latest(arriving, staging.typed_orders, table, checkpoint, LOADED, staging.derived_orders).awaitTermination()
+    delete(spark, arrived)  # all rows are in the log
     return lake.table(lake.stg, "stg_orders")
 
 

@@ -60,15 +60,18 @@ def latest_table(lake: Lake, name: str, key: str) -> LatestTable:
 
 
 def stream_latest(arrived: DataFrame, clean: Callable[[DataFrame], DataFrame], table: LatestTable, checkpoint: str,
-                  now: dt.datetime | None = None) -> StreamingQuery:
+                  now: dt.datetime | None = None, derive: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
     """Keep ``table`` at the latest row per key while raw rows arrive.
 
     A micro-batch writes its own cleaned rows and switches the table to them; ``table.compact`` runs apart from the
-    stream, in any process.
+    stream, in any process.  ``derive`` adds what follows from the other columns of a cleaned row, once the latest are known.
     """
+    def derived(latest: DataFrame) -> DataFrame:
+        return (derive(latest) if derive else latest).withColumn("_stg_updated_at", dates.now(now))
+
     def add(batch: DataFrame, batch_id: int) -> None:
         stream_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        table.add(clean(batch).withColumn("_stg_updated_at", dates.now(now)), f"{stream_id}-{batch_id:012d}")
+        table.add(clean(batch), f"{stream_id}-{batch_id:012d}", derived)
 
     return arrived.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -4,11 +4,12 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from checks import adapter
+from checks import adapter, queries
 from lakemart.plans import staging
 from lakemart.operators.dedup import latest_per_key
 from lakemart.streaming.hourly import add_events, hourly_events, read_hourly
 from lakemart.streaming.loads import merge_latest, read_latest, stream_raw
+from lakemart.workspace import file_names, shared_folder, stored_bytes
 
 HEADER = "customer_id,customer_name,email,phone,city,country,segment,signup_date\n"
 
@@ -68,3 +69,42 @@ def test_hourly_stream_counts_late_and_corrected_events(spark, small, tmp_path):
     got = read_hourly(spark, str(tmp_path / "out"))
     assert got.count() == want.count() > 0
     assert got.exceptAll(want).count() == 0
+
+
+def raw_orders(spark, ids, copies):
+    """Raw orders of few ids, each with ``copies`` rows that differ in load time and quantity, side by side."""
+    schema = "order_id string, customer_id string, product_id string, order_date string, order_status string, quantity string, unit_price string, discount_pct string, shipping_city string, shipping_country string, _loaded_at timestamp_ntz, _source_file string, _run_id string"
+    rows = [(None if i % 11 == 10 else f"o{i}", "c", None, "2024-01-05", "Completed", str(n), "2.50", None if n % 2 else "10", "x", "y", dt.datetime(2024, 1, 1 + n % 3), "f", "r")
+            for i in range(ids) for n in range(copies)]
+    return spark.createDataFrame(rows, schema).coalesce(2)
+
+
+def test_rows_are_dealt_without_a_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(queries, "FILE_ROWS", 50)
+    raw = raw_orders(spark, 200, 2)
+    status, group = spark.sparkContext.statusTracker(), "dealt"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        drops = queries.dealt(raw, 2)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert [len(status.getJobInfo(job).stageIds) for job in status.getJobIdsForGroup(group)] == [1]
+    read = [spark.read.schema(raw.schema).parquet(d) for d in drops]
+    assert [df.count() for df in read] == [200, 200]
+    assert read[0].join(read[1], "order_id").count() > 100  # copies of an order come in both
+    assert read[0].unionByName(read[1]).exceptAll(raw).isEmpty() and raw.exceptAll(read[0].unionByName(read[1])).isEmpty()
+    assert max(r[0] for df in read for r in df.groupBy(F.input_file_name()).count().select("count").collect()) <= 50
+
+
+@pytest.mark.parametrize("ids", [0, 1, 60])
+def test_streamed_orders_are_the_latest_and_leave_no_input_behind(spark, monkeypatch, ids):
+    raw = raw_orders(spark, ids, 5) if ids != 1 else raw_orders(spark, 1, 1)
+    monkeypatch.setattr(queries.adapter, "raw", lambda *_: raw)
+    known = set(file_names(spark, shared_folder(spark)))
+    got = queries.stream_load_dedup(spark, "")
+    want = staging.stg_orders(raw, queries.LOADED)
+    assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert got.count() == {0: 0, 1: 1, 60: 55}[ids]
+    new = set(file_names(spark, shared_folder(spark))) - known
+    left = [n for n in new if n.startswith(("landed", "arrived")) or (n.startswith("dealt") and stored_bytes(spark, f"{shared_folder(spark)}/{n}"))]
+    assert not left
